@@ -21,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def entry(spark: SparkSession) -> DataFrame:
     """Top customers by completed spend."""
-    return star_reports.top_customers(from_star(spark, "/root/testdata/sf0.001"))
+    return star_reports.top_customers(from_star(spark, "/root/testdata/sf0.001", summed=True))
 
 
 def queries() -> dict[str, Query]:
@@ -39,19 +39,19 @@ def queries() -> dict[str, Query]:
         "order_details_fill": lambda spark, d: from_defects(spark, d, FILL).order_details(),
         "order_details_drop": lambda spark, d: from_defects(spark, d, DROP).order_details(),
         "order_details_drop_nofill": lambda spark, d: from_defects(spark, d, DROP_ONLY).order_details(),
-        "order_details_salted": lambda spark, d: from_defects(spark, d, FILL).order_details(hot_share=1 / 200),
+        "order_details_salted": lambda spark, d: from_defects(spark, d, FILL).order_details(hot_share=1 / 10_000),
         # Reports over clean inputs.
-        "top_customers": lambda spark, d: star_reports.top_customers(from_star(spark, d)),
-        "monthly_revenue": lambda spark, d: reports.monthly_revenue(star.orders(spark, d)),
+        "top_customers": lambda spark, d: star_reports.top_customers(from_star(spark, d, summed=True)),
+        "monthly_revenue": lambda spark, d: reports.monthly_revenue(star.order_sums(spark, d)),
         "monthly_revenue_ym": lambda spark, d: reports.monthly_revenue(
-            star.orders(spark, d), year_and_month=True, digits=None
+            star.order_sums(spark, d), year_and_month=True, digits=None
         ),
         "monthly_revenue_recent": lambda spark, d: _recent_revenue(spark, d, days=180),
         "monthly_revenue_six_months": lambda spark, d: _recent_revenue(spark, d, months=6),
         "popular_categories": lambda spark, d: star_reports.popular_categories(from_star(spark, d)),
         "popular_categories_top": lambda spark, d: star_reports.popular_categories(from_star(spark, d), k=5),
-        "order_status": lambda spark, d: reports.order_status(star.orders(spark, d), percentage=False),
-        "order_status_pct": lambda spark, d: reports.order_status(star.orders(spark, d)),
+        "order_status": lambda spark, d: reports.order_status(star.order_sums(spark, d), percentage=False),
+        "order_status_pct": lambda spark, d: reports.order_status(star.order_sums(spark, d)),
         # Reports with defects filled by defaults.
         "top_customers_fill": lambda spark, d: star_reports.top_customers(from_defects(spark, d, FILL)),
         "top_customers_all": lambda spark, d: star_reports.top_customers(from_defects(spark, d, FILL), k=None),
@@ -99,7 +99,8 @@ def oracle_sql() -> dict[str, str]:
 
 def _recent_revenue(spark: SparkSession, folder: str, **window) -> DataFrame:
     newest = dates.newest(star.headers(spark, folder))
-    return reports.monthly_revenue(star.orders(spark, folder), descending=True, as_of=newest, **window)
+    recent = star.order_sums(spark, folder, since=dates.window_start(newest, **window))
+    return reports.monthly_revenue(recent, descending=True, as_of=newest, **window)
 
 
 def _sql_report(spark: SparkSession, folder: str, name: str, as_of: str | None = None) -> DataFrame:

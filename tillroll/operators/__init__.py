@@ -1,3 +1,3 @@
-from tillroll.operators import clean, flatten, quality, reports
+from tillroll.operators import clean, flatten, quality, reports, sums
 
-__all__ = ["clean", "flatten", "quality", "reports"]
+__all__ = ["clean", "flatten", "quality", "reports", "sums"]

@@ -21,21 +21,17 @@ PRODUCT_COLUMNS = ("product_name", "category")
 
 
 def with_customers(
-    df: DataFrame,
-    customers: DataFrame,
-    columns: tuple[str, ...] = CUSTOMER_COLUMNS,
-    hot_share: float | None = None,
+    df: DataFrame, customers: DataFrame, columns: tuple[str, ...] = CUSTOMER_COLUMNS, hot: DataFrame | None = None
 ) -> DataFrame:
-    return _left_join(df, clean.standardize(customers, "customer").select("customer_id", *columns), "customer_id", hot_share)
+    """Left join of customers; ``hot`` as in ``salted_left_join``."""
+    return _left_join(df, clean.standardize(customers, "customer").select("customer_id", *columns), "customer_id", hot)
 
 
 def with_products(
-    df: DataFrame,
-    products: DataFrame,
-    columns: tuple[str, ...] = PRODUCT_COLUMNS,
-    hot_share: float | None = None,
+    df: DataFrame, products: DataFrame, columns: tuple[str, ...] = PRODUCT_COLUMNS, hot: DataFrame | None = None
 ) -> DataFrame:
-    return _left_join(df, clean.standardize(products, "product").select("product_id", *columns), "product_id", hot_share)
+    """Left join of products; ``hot`` as in ``salted_left_join``."""
+    return _left_join(df, clean.standardize(products, "product").select("product_id", *columns), "product_id", hot)
 
 
 def order_details(
@@ -55,54 +51,58 @@ def order_details(
     Columns of the orders such as ``customer_id`` may be requested too.
     """
     df = orders
-    wanted = tuple(name for name in CUSTOMER_COLUMNS if name in columns)
-    if wanted or not unique_keys:
-        df = with_customers(df, customers, wanted, hot_share)
-    wanted = tuple(name for name in PRODUCT_COLUMNS if name in columns)
-    if wanted or not unique_keys:
-        df = with_products(df, products, wanted, hot_share)
+    for join, dimension, key, available in (
+        (with_customers, customers, "customer_id", CUSTOMER_COLUMNS),
+        (with_products, products, "product_id", PRODUCT_COLUMNS),
+    ):
+        wanted = tuple(name for name in available if name in columns)
+        if wanted or not unique_keys:
+            # Hot keys are counted on the orders, so that no join runs for the count.
+            hot = None if hot_share is None else hot_keys(orders, key, hot_share)
+            df = join(df, dimension, wanted, hot)
     df = df.select(*columns)
     return clean.fill(df, schemas.DETAIL_DEFAULTS) if filled else df
 
 
-def _left_join(df: DataFrame, dimension: DataFrame, key: str, hot_share: float | None) -> DataFrame:
-    if hot_share is None:
-        return df.join(dimension, key, "left")
-    return salted_left_join(df, dimension, key, hot_share)
+def _left_join(df: DataFrame, dimension: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    return df.join(dimension, key, "left") if hot is None else salted_left_join(df, dimension, key, hot)
 
 
-def salted_left_join(df: DataFrame, dimension: DataFrame, key: str, hot_share: float) -> DataFrame:
-    """Left join in which every key with more than ``hot_share`` of the rows is split.
+def hot_keys(df: DataFrame, key: str, hot_share: float) -> DataFrame:
+    """Keys with more than ``hot_share`` of the rows, each with a number of slices.
 
-    The rows per key are counted first, with map-side sums. At most
-    ``1 / hot_share`` keys can be hot, whatever the size of ``df``, which bounds
-    the broadcast list. A hot key is cut in slices of about ``hot_share`` of the
-    rows and only its dimension rows are repeated, once per slice. Rows without
-    a key match nothing and are spread freely.
-
-    A row's slice follows from its values and its input partition, not from
-    chance, so a task that runs again after a lost executor places it alike.
+    Whatever the size of ``df``, fewer than ``1 / hot_share`` keys can be that
+    hot, and a slice holds about ``hot_share`` of the rows.
     """
     if not 0 < hot_share < 1:
         raise ValueError("hot_share must lie between 0 and 1")
     counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
     slice_rows = counts.agg(F.sum("_rows")).scalar() * F.lit(hot_share)
-    hot = F.broadcast(
-        counts.filter(F.col(key).isNotNull() & (F.col("_rows") > slice_rows)).select(
-            key, F.ceil(F.col("_rows") / slice_rows).alias("_slices")
-        )
-    )
+    return counts.filter(F.col("_rows") > slice_rows).select(key, F.ceil(F.col("_rows") / slice_rows).alias("_slices"))
+
+
+def salted_left_join(df: DataFrame, dimension: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Left join in which the rows of every key listed by ``hot_keys`` are split.
+
+    Only the dimension rows of hot keys are repeated, once per slice. The list is
+    broadcast: ``hot_share`` bounds its length. The null key matches nothing, so
+    its rows need no partner in the dimension.
+
+    A row's slice follows from its values and its input partition, not from
+    chance, so a task that runs again after a lost executor places it alike.
+    """
+    hot = F.broadcast(hot.withColumnRenamed(key, "_hot_key"))
     spread = F.xxhash64(F.spark_partition_id(), *df.columns)
-    slices = F.when(F.col(key).isNull(), F.ceil(F.lit(1 / hot_share))).otherwise(F.coalesce("_slices", F.lit(1)))
     left = (
         df.withColumn("_spread", spread)
-        .join(hot, key, "left")
-        .withColumn("_slice", F.pmod("_spread", slices))
-        .drop("_spread", "_slices")
+        .join(hot, F.col(key).eqNullSafe(F.col("_hot_key")), "left")
+        .withColumn("_slice", F.pmod("_spread", F.coalesce("_slices", F.lit(1))))
+        .drop("_spread", "_slices", "_hot_key")
     )
+    last = F.coalesce("_slices", F.lit(1)) - 1
     right = (
-        dimension.join(hot, key, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_slices", F.lit(1)) - 1)))
-        .drop("_slices")
+        dimension.join(hot, F.col(key) == F.col("_hot_key"), "left")
+        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        .drop("_slices", "_hot_key")
     )
     return left.join(right, [key, "_slice"], "left").drop("_slice")

@@ -1,6 +1,6 @@
 """The four reports over an ``order_details`` table, or over anything with the columns they use.
 
-Every ranking ends in the group keys, so that ties have one order. Groups are
+Rows may come summed by a key (``sums.presum``). Every ranking ends in the group keys, so that ties have one order. Groups are
 summed map-side first: a group that holds a third of the rows costs one row per
 task in the shuffle.
 """
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillroll import schemas
 from tillroll.functions import dates, money, shares
+from tillroll.operators import sums
 
 
 def completed(df: DataFrame) -> DataFrame:
@@ -34,21 +35,12 @@ def top_customers(
     ``drop_unmatched`` leaves out groups with a null key; ``digits=None`` does
     not round.
     """
-    keys = customer_keys(by_id)
-    spend = without_null_keys(completed(details), keys, drop_unmatched).groupBy(*keys).agg(*money.parts())
-    return rank_customers(spend, keys, k, digits)
-
-
-def customer_keys(by_id: bool) -> tuple[str, ...]:
-    return ("customer_id", "customer_name", "country") if by_id else ("customer_name", "country")
-
-
-def rank_customers(spend: DataFrame, keys: tuple[str, ...], k: int | None, digits: int | None) -> DataFrame:
-    """Ranking of groups that hold ``money.parts``."""
-    ranked = spend.select(*keys, money.value(digits).alias("total_spend"))
-    if "customer_id" in keys:
-        ranked = ranked.fillna({"customer_id": schemas.ORDER_DEFAULTS["customer_id"]})
-    return limited(ranked.orderBy(F.col("total_spend").desc(), *keys), k)
+    keys = ("customer_id", "customer_name", "country") if by_id else ("customer_name", "country")
+    df = _without_null_keys(completed(details), keys, drop_unmatched)
+    spend = df.groupBy(*keys).agg(*sums.amounts(df)).select(*keys, money.value(digits).alias("total_spend"))
+    if by_id:
+        spend = spend.fillna({"customer_id": schemas.ORDER_DEFAULTS["customer_id"]})
+    return _limited(spend.orderBy(F.col("total_spend").desc(), *keys), k)
 
 
 def monthly_revenue(
@@ -69,8 +61,8 @@ def monthly_revenue(
     df = completed(details)
     if as_of is not None:
         df = df.filter(F.col("order_date") >= dates.window_start(as_of, days, months))
-    df = without_null_keys(df, ("order_date",), drop_unmatched)
-    revenue = df.groupBy(dates.month_start("order_date").alias("_month")).agg(*money.parts())
+    df = _without_null_keys(df, ("order_date",), drop_unmatched)
+    revenue = df.groupBy(dates.month_start("order_date").alias("_month")).agg(*sums.amounts(df))
     if year_and_month:
         keys = {"year": F.year("_month").cast("bigint"), "month": F.month("_month").cast("bigint")}
     else:
@@ -83,12 +75,9 @@ def monthly_revenue(
 
 def popular_categories(details: DataFrame, k: int | None = None, drop_unmatched: bool = False) -> DataFrame:
     """Completed orders per category, most first."""
-    df = without_null_keys(completed(details), ("category",), drop_unmatched)
-    return rank_categories(df.groupBy("category").agg(F.count("*").alias("order_count")), k)
-
-
-def rank_categories(counts: DataFrame, k: int | None) -> DataFrame:
-    return limited(counts.orderBy(F.col("order_count").desc(), "category"), k)
+    df = _without_null_keys(completed(details), ("category",), drop_unmatched)
+    counts = df.groupBy("category").agg(sums.row_count(df).alias("order_count"))
+    return _limited(counts.orderBy(F.col("order_count").desc(), "category"), k)
 
 
 def order_status(
@@ -103,8 +92,8 @@ def order_status(
     The total is a sum over the grouped counts and reuses their shuffle, so the
     rows are read once.
     """
-    df = without_null_keys(details, ("status",), drop_unmatched)
-    counts = df.groupBy("status").agg(F.count("*").alias("order_count"))
+    df = _without_null_keys(details, ("status",), drop_unmatched)
+    counts = df.groupBy("status").agg(sums.row_count(df).alias("order_count"))
     result = counts
     if percentage:
         total = counts.agg(F.sum("order_count")).scalar()
@@ -115,11 +104,11 @@ def order_status(
     return result.orderBy(*order)
 
 
-def without_null_keys(df: DataFrame, keys: tuple[str, ...], drop: bool) -> DataFrame:
+def _without_null_keys(df: DataFrame, keys: tuple[str, ...], drop: bool) -> DataFrame:
     for name in keys if drop else ():
         df = df.filter(F.col(name).isNotNull())
     return df
 
 
-def limited(df: DataFrame, k: int | None) -> DataFrame:
+def _limited(df: DataFrame, k: int | None) -> DataFrame:
     return df if k is None else df.limit(k)

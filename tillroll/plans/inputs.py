@@ -59,10 +59,10 @@ class Inputs:
         )
 
 
-def from_star(spark: SparkSession, folder: str) -> Inputs:
-    """The star tables as they are."""
+def from_star(spark: SparkSession, folder: str, summed: bool = False) -> Inputs:
+    """The star tables as they are; ``summed`` takes the lines summed per order."""
     return Inputs(
-        star.orders(spark, folder),
+        star.order_sums(spark, folder) if summed else star.orders(spark, folder),
         clean.customers(star.customers(spark, folder), "none"),
         clean.products(star.products(spark, folder), "none"),
     )

@@ -1,10 +1,9 @@
 """Customer and category reports straight from the inputs.
 
-The orders are summed per customer or product id before they are joined, so the
-shuffles carry one row per id and task, and an id that holds a third of all
-orders is one row in the join. Sums and counts survive the fan-out of a repeated
-dimension key, so the results equal those over ``order_details`` as long as the
-*other* dimension has unique keys; it is not read here.
+The completed orders are summed per customer or product id before they are
+joined. Sums survive the fan-out of a repeated dimension key, so the results
+equal those over ``order_details`` as long as the *other* dimension, which is
+not read here, has unique keys.
 
 Revenue per month and orders per status need no dimension: call
 ``reports.monthly_revenue`` and ``reports.order_status`` on the orders.
@@ -16,32 +15,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import schemas
-from tillroll.functions import money
-from tillroll.operators import clean, flatten, reports
+from tillroll.operators import clean, flatten, reports, sums
 from tillroll.plans.inputs import Inputs
 
 
-def top_customers(
-    inputs: Inputs,
-    k: int | None = 5,
-    by_id: bool = False,
-    drop_unmatched: bool = False,
-    digits: int | None = 2,
-) -> DataFrame:
-    """As ``reports.top_customers``."""
-    keys = reports.customer_keys(by_id)
-    spend = reports.completed(inputs.orders).groupBy("customer_id").agg(*money.parts())
-    named = _filled(flatten.with_customers(spend, inputs.customers), inputs)
-    named = reports.without_null_keys(named, keys, drop_unmatched)
-    return reports.rank_customers(named.groupBy(*keys).agg(*money.merged()), keys, k, digits)
-
-
-def popular_categories(inputs: Inputs, k: int | None = None, drop_unmatched: bool = False) -> DataFrame:
-    """As ``reports.popular_categories``."""
-    counts = reports.completed(inputs.orders).groupBy("product_id").agg(F.count("*").alias("_rows"))
-    named = _filled(flatten.with_products(counts, inputs.products, ("category",)), inputs)
-    named = reports.without_null_keys(named, ("category",), drop_unmatched)
-    return reports.rank_categories(named.groupBy("category").agg(F.sum("_rows").alias("order_count")), k)
+def top_customers(inputs: Inputs, **options) -> DataFrame:
+    """``reports.top_customers`` with its options."""
+    spend = flatten.with_customers(_completed_sums(inputs, "customer_id"), inputs.customers)
+    return reports.top_customers(_filled(spend, inputs), **options)
+
+
+def popular_categories(inputs: Inputs, **options) -> DataFrame:
+    """``reports.popular_categories`` with its options."""
+    counts = flatten.with_products(_completed_sums(inputs, "product_id"), inputs.products, ("category",))
+    return reports.popular_categories(_filled(counts, inputs), **options)
+
+
+def _completed_sums(inputs: Inputs, key: str) -> DataFrame:
+    summed = sums.presum(reports.completed(inputs.orders), key)
+    return summed.withColumn("status", F.lit(schemas.COMPLETED))
 
 
 def _filled(df: DataFrame, inputs: Inputs) -> DataFrame:

@@ -11,6 +11,8 @@ import posixpath
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions import money
+from tillroll.operators import sums
 from tillroll.sources import files
 
 ORDER_COLUMNS = ("order_id", "customer_id", "product_id", "order_date", "amount", "status")
@@ -84,3 +86,21 @@ def orders(spark: SparkSession, folder: str, columns: tuple[str, ...] = ORDER_CO
     if _OF_HEADER.intersection(columns):
         df = df.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
     return df.select(*[_order_column(name) for name in columns])
+
+
+def order_sums(spark: SparkSession, folder: str, since: Column | None = None) -> DataFrame:
+    """Lines summed per order, with customer_id, order_date and status.
+
+    Summing comes first, on the join's own key: no shuffle is added, each order
+    is one row in it, and an order with very many lines is no hot key.
+    ``since`` keeps orders from a date on, as a filter on the raw column that the
+    scan can use to skip row groups.
+    """
+    summed = sums.presum(table(spark, folder, "lineitem"), "l_orderkey", amount="l_extendedprice")
+    raw = table(spark, folder, "orders")
+    if since is not None:
+        raw = raw.filter(F.col("o_orderdate") >= since.cast("timestamp_ntz"))
+    joined = summed.join(raw, F.col("l_orderkey") == F.col("o_orderkey"), "left" if since is None else "inner")
+    return joined.select(
+        "l_orderkey", *[_order_column(name) for name in sorted(_OF_HEADER)], money.UNITS, money.MICROS, sums.ROWS
+    ).withColumnRenamed("l_orderkey", "order_id")
