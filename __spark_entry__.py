@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pathlib
+import sys
 from collections.abc import Callable
 
+sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

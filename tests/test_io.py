@@ -1,0 +1,182 @@
+from __future__ import annotations
+
+import datetime
+
+import pytest
+from helpers import rows
+from pyspark.errors import PySparkException
+
+from tillroll import schemas, session
+from tillroll.operators import quality, reports
+from tillroll.plans import publish
+from tillroll.sinks import catalog, csv, jdbc
+from tillroll.sources import files, tables
+
+DAY = datetime.date(2024, 3, 17)
+DETAILS = [
+    (1, 'Ann "A", Ltd', "UK", "Pen", "Office", 10.1, "completed", DAY),
+    (2, "  Bob ", None, "", "Books", 0.1 + 0.2, "pending", None),
+    (3, "back\\slash", "USA", None, "Books", -5.0, "completed", DAY),
+]
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    name = "shop_" + str(abs(hash(str(tmp_path))))
+    catalog.ensure_database(spark, name, str(tmp_path / "db"))
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_csv_input(spark, tmp_path):
+    (tmp_path / "orders.csv").write_bytes(
+        b"order_id,customer_id,product_id,order_date,amount,status\r\n"
+        b"1,2,3,2024-03-17,5.5,completed\r\n"
+        b"\r\n"
+        b"2,x,,,,pending\r\n"
+    )
+    got = files.read_csv(spark, str(tmp_path / "orders.csv"), schemas.orders())
+    assert rows(got) == [(1, 2, 3, "2024-03-17", 5.5, "completed"), (2, None, None, None, None, "pending")]
+    assert got.dtypes[0] == ("order_id", "int")
+
+
+def test_three_inputs(spark, tmp_path):
+    (tmp_path / "customers.csv").write_text("customer_id,name,email,country\n1,Ann,a@x.org,UK\n")
+    (tmp_path / "products.csv").write_text("product_id,name,category,price\n1,Pen,Office,2.5\n")
+    (tmp_path / "orders.csv").write_text("order_id,customer_id,product_id,order_date,amount,status\n")
+    customers, products, orders = files.read_inputs(spark, str(tmp_path))
+    assert rows(customers) == [(1, "Ann", "a@x.org", "UK")]
+    assert rows(products) == [(1, "Pen", "Office", 2.5)]
+    assert rows(orders) == []
+
+
+def test_csv_round_trip_keeps_every_value(make, spark, tmp_path):
+    details = make("details", DETAILS)
+    for _ in range(2):
+        csv.write_csv(details, str(tmp_path / "out"))
+    back = files.read_csv(spark, str(tmp_path / "out"), details.schema)
+    # CSV has no empty text: it reads back as null.
+    assert sorted(rows(back.fillna({"product_name": ""}).sort("order_id"))) == rows(details.fillna({"product_name": ""}))
+
+
+def test_empty_csv_has_a_header(make, spark, tmp_path):
+    path = str(tmp_path / "out")
+    csv.write_csv(make("details", []), path)
+    parts = [p.read_text() for p in (tmp_path / "out").glob("*.csv")]
+    assert parts == [",".join(schemas.order_details().names) + "\n"]
+    csv.write_csv(make("details", DETAILS), path)
+    csv.write_csv(make("details", []), path, skip_empty=True)
+    assert files.read_csv(spark, path, schemas.order_details()).count() == 3
+    csv.write_csv(make("details", []), path)
+    assert files.read_csv(spark, path, schemas.order_details()).count() == 0
+
+
+def test_one_csv_file(spark, tmp_path):
+    df = spark.range(1000).repartition(8)
+    csv.write_one_csv(df, str(tmp_path / "one"), order_by=("id",))
+    (part,) = (tmp_path / "one").glob("*.csv")
+    assert part.read_text().split() == ["id", *map(str, range(1000))]
+    with pytest.raises(ValueError, match="too many"):
+        csv.write_one_csv(df, str(tmp_path / "other"), max_rows=999)
+    assert not (tmp_path / "other").exists()
+
+
+def test_csv_report(spark, make, tmp_path):
+    paths = publish.to_csv(spark, make("details", DETAILS), str(tmp_path))
+    paths["missing"] = str(tmp_path / "missing")
+    assert rows(files.csv_report(spark, paths)) == [
+        ("order_details", True, 3),
+        ("top_customers", True, 2),
+        ("monthly_revenue", True, 1),
+        ("popular_categories", True, 2),
+        ("order_status", True, 2),
+        ("missing", False, None),
+    ]
+
+
+def test_publish_to_tables(spark, make, database):
+    details = make("details", DETAILS)
+    for _ in range(2):
+        counts = publish.to_tables(details, database)
+    assert dict(rows(counts)) == {
+        "order_details": 3,
+        "top_customers": 2,
+        "monthly_revenue": 1,
+        "popular_categories": 2,
+        "order_status": 2,
+    }
+    status = spark.table(f"{database}.order_status")
+    assert dict(status.dtypes) == {"status": "varchar(50)", "order_count": "bigint", "percentage": "decimal(5,2)"} or (
+        dict(status.dtypes)["percentage"] == "decimal(5,2)"
+    )
+    assert sorted((r.status, r.order_count, float(r.percentage)) for r in status.collect()) == [
+        ("completed", 2, 66.67),
+        ("pending", 1, 33.33),
+    ]
+    assert dict(rows(publish.to_tables(details, database, mode="append")))["order_details"] == 6
+    assert dict(rows(publish.to_tables(details, database, mode="append", recreate=True)))["order_details"] == 3
+
+
+def test_declared_types(spark, make, database):
+    table = f"{database}.order_details"
+    catalog.create_table(spark, table, schemas.table_types("order_details", wide=False))
+    catalog.create_table(spark, table, {"ignored": "INT"})
+    catalog.write_table(make("details", DETAILS), table)
+    amounts = {row.order_id: str(row.amount) for row in tables.read_table(spark, table).collect()}
+    assert amounts == {1: "10.10", 2: "0.30", 3: "-5.00"}
+    too_long = [(1, "x" * 256, "UK", "Pen", "Office", 1.0, "completed", DAY)]
+    too_large = [(1, "x", "UK", "Pen", "Office", 1e9, "completed", DAY)]
+    for bad in (too_long, too_large):
+        with pytest.raises(PySparkException):
+            catalog.write_table(make("details", bad), table, "append")
+    with pytest.raises(ValueError, match="mode"):
+        catalog.write_table(make("details", []), table, "replace")
+
+
+def test_columns_are_matched_by_name(spark, make, database):
+    table = f"{database}.popular_categories"
+    catalog.create_table(spark, table, schemas.table_types("popular_categories"))
+    counts = reports.popular_categories(make("details", DETAILS)).select("order_count", "category")
+    catalog.write_table(counts, table)
+    assert sorted(rows(spark.table(table))) == [("Books", 1), ("Office", 1)]
+    assert dict(rows(quality.table_row_counts(spark, database)))["popular_categories"] == 2
+
+
+def test_views_and_sql_text(spark, make):
+    details = make("details", DETAILS)
+    tables.register(details)
+    assert tables.run_sql(spark, "SELECT count(*) FROM order_details").first()[0] == 3
+    assert tables.run_sql(spark, "SELECT count(*) FROM {d}", d=details).first()[0] == 3
+    spark.catalog.dropTempView("order_details")
+
+
+def test_jdbc_options():
+    read = tables.jdbc_options("jdbc:x:y", "orders", partition=("order_id", 0, 100, 8), user="u")
+    assert read == {
+        "url": "jdbc:x:y",
+        "dbtable": "orders",
+        "fetchsize": "10000",
+        "user": "u",
+        "partitionColumn": "order_id",
+        "lowerBound": "0",
+        "upperBound": "100",
+        "numPartitions": "8",
+    }
+    write = jdbc.jdbc_options("jdbc:x:y", "order_status", schemas.table_types("order_status"), connections=4)
+    assert write["numPartitions"] == "4" and write["truncate"] == "true"
+    assert write["createTableColumnTypes"] == "status VARCHAR(50), order_count BIGINT, percentage DECIMAL(5,2)"
+
+
+def test_shared_root_comes_from_the_session(spark, tmp_path, monkeypatch):
+    local = session.shared_root(spark)
+    assert session.new_folder(spark, "a").startswith(local)
+    assert session.new_folder(spark, "a") != session.new_folder(spark, "a")
+
+    class Session:
+        def __init__(self, root, master):
+            self.conf = {"spark.checkpoint.dir": root} if root else {}
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
+
+    assert session.shared_root(Session("s3a://shared/x", "yarn")) == "s3a://shared/x"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_root(Session(None, "yarn"))

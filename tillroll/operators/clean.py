@@ -24,9 +24,9 @@ def fill(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     return df.fillna({name: value for name, value in defaults.items() if name in df.columns})
 
 
-def is_missing(df: DataFrame, name: str) -> Column:
-    missing = F.col(name).isNull()
-    return missing | F.isnan(name) if dict(df.dtypes)[name] in ("double", "float") else missing
+def is_present(df: DataFrame, name: str) -> Column:
+    present = F.col(name).isNotNull()
+    return present & ~F.isnan(name) if dict(df.dtypes)[name] in ("double", "float") else present
 
 
 def standardize(df: DataFrame, prefix: str) -> DataFrame:
@@ -56,7 +56,7 @@ def orders(df: DataFrame, policy: str = "fill", fill_keys: bool = True) -> DataF
     _check(policy)
     if policy == "drop":
         # One test per column, not na.drop(): these reach the scan as pushed filters.
-        df = df.filter(reduce(and_, [~is_missing(df, name) for name in df.columns]))
+        df = df.filter(reduce(and_, [is_present(df, name) for name in df.columns]))
     if policy == "fill":
         defaults = schemas.ORDER_DEFAULTS
         if not fill_keys:

@@ -45,7 +45,7 @@ def audit(
             "product_id null": F.col("product_id").isNull(),
             "name null": F.col("name").isNull(),
             "category null": F.col("category").isNull(),
-            "price null": clean.is_missing(products, "price"),
+            "price null": ~clean.is_present(products, "price"),
             "price negative": F.col("price") < 0,
         },
     )
@@ -57,7 +57,7 @@ def audit(
             "customer_id null": F.col("customer_id").isNull(),
             "product_id null": F.col("product_id").isNull(),
             "order_date null": F.col("order_date").isNull(),
-            "amount null": clean.is_missing(orders, "amount"),
+            "amount null": ~clean.is_present(orders, "amount"),
             "status null": F.col("status").isNull(),
             "status unlisted": ~F.col("status").isin(*schemas.STATUSES),
             "order_date malformed": F.col("order_date").isNotNull() & dates.parse(F.col("order_date")).isNull(),
