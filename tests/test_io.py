@@ -6,6 +6,7 @@ import pytest
 from helpers import rows
 from pyspark.errors import PySparkException
 
+from tillroll import __main__ as job
 from tillroll import schemas, session
 from tillroll.operators import quality, reports
 from tillroll.plans import publish
@@ -82,7 +83,7 @@ def test_one_csv_file(spark, tmp_path):
 
 
 def test_csv_report(spark, make, tmp_path):
-    paths = publish.to_csv(spark, make("details", DETAILS), str(tmp_path))
+    paths = publish.to_csv(make("details", DETAILS), str(tmp_path))
     paths["missing"] = str(tmp_path / "missing")
     assert rows(files.csv_report(spark, paths)) == [
         ("order_details", True, 3),
@@ -180,3 +181,42 @@ def test_shared_root_comes_from_the_session(spark, tmp_path, monkeypatch):
     assert session.shared_root(Session("s3a://shared/x", "yarn")) == "s3a://shared/x"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_root(Session(None, "yarn"))
+
+
+def test_job_over_a_folder(spark, tmp_path, capsys):
+    (tmp_path / "customers.csv").write_text("customer_id,name,email,country\n1,Ann,a@x.org,UK\n2,,,\n")
+    (tmp_path / "products.csv").write_text("product_id,name,category,price\n1,Pen,Office,2.5\n")
+    (tmp_path / "orders.csv").write_text(
+        "order_id,customer_id,product_id,order_date,amount,status\n"
+        "1,1,1,2024-01-02,5.25,completed\n2,2,9,2024-02-03,1.5,completed\n3,1,1,,2.0,pending\n"
+    )
+    out = tmp_path / "out"
+    command = [str(tmp_path), "--csv", str(out), "--style", "recent", "--as-of", "2024-07-31"]
+    job.run(spark, job.parse(command))
+    assert "order_details" in capsys.readouterr().out
+    read = {
+        "order_details": schemas.order_details(),
+        "top_customers": schemas.TOP_CUSTOMERS,
+        "monthly_revenue": schemas.MONTHLY_REVENUE,
+        "popular_categories": schemas.POPULAR_CATEGORIES,
+        "order_status": schemas.ORDER_STATUS,
+    }
+    got = {name: sorted(rows(files.read_csv(spark, str(out / name), schema))) for name, schema in read.items()}
+    assert [row[0] for row in got["order_details"]] == [1, 2, 3]
+    assert got["top_customers"] == [("Ann", "UK", 5.25), ("Unknown Customer", "Unknown", 1.5)]
+    assert got["monthly_revenue"] == [("2024-02", 1.5)]
+    assert got["popular_categories"] == [("Office", 1), ("Uncategorized", 1)]
+    assert got["order_status"] == [("completed", 2, 66.67), ("pending", 1, 33.33)]
+    with pytest.raises(SystemExit):
+        job.parse([str(tmp_path)])
+
+
+def test_job_into_tables(spark, tmp_path, database, make):
+    for name, kind in (("customers", "customers"), ("products", "products")):
+        csv.write_csv(make(kind, []), str(tmp_path / f"{name}.csv"))
+    csv.write_csv(make("orders", [(1, 1, 1, "2024-01-02", 5.25, "bogus")]), str(tmp_path / "orders.csv"))
+    for _ in range(2):
+        job.run(spark, job.parse([str(tmp_path), "--database", database, "--variant", "drop", "--append"]))
+    assert rows(spark.table(f"{database}.order_details").select("customer_name", "status")) == [
+        ("Unknown Customer", "bogus")
+    ] * 2

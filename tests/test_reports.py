@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import dates, shares
 from tillroll.operators import reports, sums
 from tillroll.plans import sql_reports, star_reports
+from tillroll.plans.report_sets import STYLES, report_set
 from tillroll.plans.inputs import DROP, DROP_ONLY, FILL, Inputs
 
 
@@ -181,3 +182,57 @@ def test_order_status_reads_its_rows_once(spark, details, tmp_path):
     result = reports.order_status(spark.read.parquet(path))
     result.collect()
     assert "ReusedExchange" in plan(result)
+
+
+def test_report_sets(details):
+    got = {
+        style: {name: rows(df) for name, df in report_set(details, style, as_of="2024-08-31").items()} for style in STYLES
+    }
+    counts = [("completed", 5), ("Completed", 1), ("cancelled", 1), ("pending", 1)]
+    shares_ = [("completed", 5, 62.5), ("Completed", 1, 12.5), ("cancelled", 1, 12.5), ("pending", 1, 12.5)]
+    top = [("Ann", "UK", 10.3), ("Ann", "USA", 10.3), ("Bob", "USA", 10.3), (None, None, 7.01)]
+    ranked = [("Office", 2), ("Sports", 2), (None, 1)]
+    months = [(None, 7.01), ("2024-01", 10.3), ("2024-03", 20.6)]
+    assert got == {
+        "dataframe": {"top_customers": top, "monthly_revenue": months, "popular_categories": ranked, "order_status": counts},
+        "sql": {
+            "top_customers": top,
+            "monthly_revenue": months[:0:-1] + months[:1],
+            "popular_categories": ranked,
+            "order_status": shares_,
+        },
+        "pandas": {
+            "top_customers": top[:3],
+            "monthly_revenue": [(2024, 1, 10.3), (2024, 3, 20.6)],
+            "popular_categories": ranked[:2],
+            "order_status": sorted(shares_),
+        },
+        "recent": {
+            "top_customers": top,
+            "monthly_revenue": [("2024-03", 20.6)],
+            "popular_categories": ranked,
+            "order_status": shares_,
+        },
+        "complete": {
+            "top_customers": top,
+            "monthly_revenue": [("2024-03", 20.6)],
+            "popular_categories": ranked,
+            "order_status": shares_,
+        },
+    }
+
+
+def test_report_set_arguments(details):
+    with pytest.raises(ValueError, match="as_of"):
+        report_set(details, "recent")
+    with pytest.raises(ValueError, match="style"):
+        report_set(details, "other")
+
+
+def test_complete_and_limited_sets_differ(make):
+    many = make("details", [(i, f"c{i}", "UK", "p", f"k{i}", 1.0, "completed", day("2024-01-01")) for i in range(9)])
+    sizes = {
+        style: [report_set(many, style, "2024-01-02")[name].count() for name in ("top_customers", "popular_categories")]
+        for style in STYLES
+    }
+    assert sizes == {"dataframe": [5, 9], "sql": [5, 5], "pandas": [5, 9], "recent": [5, 5], "complete": [9, 9]}

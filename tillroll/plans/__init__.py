@@ -1,3 +1,3 @@
-from tillroll.plans import inputs, publish, sql_reports, star_reports
+from tillroll.plans import inputs, publish, report_sets, sql_reports, star_reports
 
-__all__ = ["inputs", "publish", "sql_reports", "star_reports"]
+__all__ = ["inputs", "publish", "report_sets", "sql_reports", "star_reports"]

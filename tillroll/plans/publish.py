@@ -2,25 +2,26 @@
 
 ``order_details`` is written first and the reports are computed from what was
 written, so the cleaning and the joins run once, and a lost executor never sets
-the run back behind that table. Each table is replaced or appended by itself:
+the run back behind that table. Each result is replaced or appended by itself:
 plain Spark has no transaction across tables.
 """
 
 from __future__ import annotations
 
+import datetime
 import posixpath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 
-from tillroll import schemas
+from tillroll import schemas, session
 from tillroll.functions import shares
 from tillroll.operators import quality, reports
-from tillroll.sinks import csv, catalog
-from tillroll.sources import files
+from tillroll.plans.report_sets import report_set
+from tillroll.sinks import catalog, csv
 
 
-def report_frames(details: DataFrame) -> dict[str, DataFrame]:
-    """The four reports in the shape of the output tables."""
+def table_reports(details: DataFrame) -> dict[str, DataFrame]:
+    """The reports in the shape of the output tables: year and month, percent to even."""
     return {
         "top_customers": reports.top_customers(details),
         "monthly_revenue": reports.monthly_revenue(details, year_and_month=True),
@@ -43,17 +44,28 @@ def to_tables(
     catalog.create_tables(spark, database, wide=wide, recreate=recreate)
     catalog.write_table(details, f"{database}.order_details", mode)
     written = spark.table(f"{database}.order_details")
-    for name, df in report_frames(written).items():
+    for name, df in table_reports(written).items():
         catalog.write_table(df, f"{database}.{name}", mode)
     return quality.table_row_counts(spark, database)
 
 
-def to_csv(spark: SparkSession, details: DataFrame, folder: str, skip_empty: bool = False) -> dict[str, str]:
-    """Write all five results as CSV folders and return their paths."""
+def to_csv(
+    details: DataFrame,
+    folder: str,
+    style: str = "dataframe",
+    as_of: str | datetime.date | Column | None = None,
+    skip_empty: bool = False,
+) -> dict[str, str]:
+    """Write all five results as CSV folders and return their paths.
+
+    The details are staged as Parquet in the shared folder: the reports then read
+    only their columns of it, which CSV would not allow.
+    """
+    spark = details.sparkSession
+    staged_path = session.new_folder(spark, "order-details")
+    details.write.parquet(staged_path)
+    staged = spark.read.schema(details.schema).parquet(staged_path)
     paths = {name: posixpath.join(folder, name) for name in schemas.OUTPUT_TABLES}
-    csv.write_csv(details, paths["order_details"])
-    key_type = details.schema["order_id"].dataType
-    written = files.read_csv(spark, paths["order_details"], schemas.order_details(key_type))
-    for name, df in report_frames(written).items():
+    for name, df in {"order_details": staged, **report_set(staged, style, as_of)}.items():
         csv.write_csv(df, paths[name], skip_empty=skip_empty)
     return paths

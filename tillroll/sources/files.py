@@ -24,8 +24,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet holds its schema; giving it saves the job that reads a footer for it."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def read_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ import posixpath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions import money
 from tillroll.operators import sums
@@ -19,8 +20,16 @@ ORDER_COLUMNS = ("order_id", "customer_id", "product_id", "order_date", "amount"
 _OF_HEADER = {"customer_id", "order_date", "status"}
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return files.read_parquet(spark, posixpath.join(folder, f"{name}.parquet"))
+    """A star table. Its schema is read from the file once per application, not per query."""
+    path = posixpath.join(folder, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, path)
+    df = files.read_parquet(spark, path, _schemas.get(key))
+    _schemas.setdefault(key, df.schema)
+    return df
 
 
 def _status(code: str) -> Column:
