@@ -121,7 +121,7 @@ def test_adaptive_execution_splits_hot_and_null_keys(spark, conf):
 def test_salted_join_equals_the_plain_join(spark, conf, broadcast):
     conf(autoBroadcastJoinThreshold=broadcast)
     orders, customers = skewed(spark, 3000), many_customers(spark, 2000)
-    hot = flatten.hot_keys(orders, "customer_id", 0.05)
+    hot = flatten.hot_keys(orders, ["customer_id"], 0.05)["customer_id"]
     assert sorted(rows(hot), key=str) == [(1, 7), (None, 7)]
     salted = flatten.with_customers(orders, customers, hot=hot)
     plain = flatten.with_customers(orders, customers)
@@ -132,7 +132,7 @@ def test_salted_join_equals_the_plain_join(spark, conf, broadcast):
 def test_salted_join_spreads_a_hot_key(spark, conf):
     conf(autoBroadcastJoinThreshold="-1", shuffle__partitions="32", adaptive__enabled="false")
     orders = skewed(spark, 6000)
-    hot = flatten.hot_keys(orders, "customer_id", 0.02)
+    hot = flatten.hot_keys(orders, ["customer_id"], 0.02)["customer_id"]
     salted = flatten.with_customers(orders, many_customers(spark, 100), hot=hot)
     sizes = salted.groupBy(F.spark_partition_id().alias("p")).count().toPandas()["count"]
     assert sizes.sum() == 6000
@@ -141,4 +141,10 @@ def test_salted_join_spreads_a_hot_key(spark, conf):
 
 def test_hot_share_must_be_a_share(spark):
     with pytest.raises(ValueError):
-        flatten.hot_keys(skewed(spark, 10), "customer_id", 2)
+        flatten.hot_keys(skewed(spark, 10), ["customer_id"], 2)
+
+
+def test_without_hot_keys_the_join_is_plain(spark):
+    orders = skewed(spark, 3000).filter("customer_id > 1")
+    assert flatten.hot_keys(orders, ["customer_id"], 0.1) == {}
+    assert list(flatten.hot_keys(skewed(spark, 3000), ["customer_id", "product_id"], 0.1)) == ["customer_id", "product_id"]
