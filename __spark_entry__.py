@@ -16,7 +16,7 @@ from tillroll import schemas, session
 from tillroll.functions import dates, shares
 from tillroll.operators import clean, flatten, quality, reports
 from tillroll.plans import publish, sql_reports, star_reports
-from tillroll.plans.inputs import DROP, DROP_ONLY, FILL, from_defects, from_star, star_order_details
+from tillroll.plans.inputs import DROP, DROP_ONLY, FILL, from_defects, star_order_details
 from tillroll.sinks import catalog, csv
 from tillroll.sources import defects, files, star
 
@@ -25,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def entry(spark: SparkSession) -> DataFrame:
     """Top customers by completed spend."""
-    return star_reports.top_customers(from_star(spark, "/root/testdata/sf0.001", summed=True))
+    return _top_customers(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
@@ -45,25 +45,23 @@ def queries() -> dict[str, Query]:
         "order_details_drop_nofill": lambda spark, d: from_defects(spark, d, DROP_ONLY).order_details(),
         "order_details_salted": lambda spark, d: from_defects(spark, d, FILL).order_details(hot_share=1 / 10_000),
         # Reports over clean inputs.
-        "top_customers": lambda spark, d: star_reports.top_customers(from_star(spark, d, summed=True)),
+        "top_customers": _top_customers,
         "monthly_revenue": lambda spark, d: reports.monthly_revenue(star.order_sums(spark, d)),
         "monthly_revenue_ym": lambda spark, d: reports.monthly_revenue(
             star.order_sums(spark, d), year_and_month=True, digits=None
         ),
         "monthly_revenue_recent": lambda spark, d: _recent_revenue(spark, d, days=180),
         "monthly_revenue_six_months": lambda spark, d: _recent_revenue(spark, d, months=6),
-        "popular_categories": lambda spark, d: star_reports.popular_categories(from_star(spark, d)),
-        "popular_categories_top": lambda spark, d: star_reports.popular_categories(from_star(spark, d), k=5),
+        "popular_categories": _popular_categories,
+        "popular_categories_top": lambda spark, d: _popular_categories(spark, d, k=5),
         "order_status": lambda spark, d: reports.order_status(star.order_sums(spark, d), percentage=False),
         "order_status_pct": lambda spark, d: reports.order_status(star.order_sums(spark, d)),
         # Reports with defects filled by defaults.
-        "top_customers_fill": lambda spark, d: star_reports.top_customers(from_defects(spark, d, FILL)),
-        "top_customers_all": lambda spark, d: star_reports.top_customers(from_defects(spark, d, FILL), k=None),
-        "top_customers_by_id": lambda spark, d: star_reports.top_customers(
-            from_defects(spark, d, FILL), k=None, by_id=True
-        ),
+        "top_customers_fill": lambda spark, d: from_defects(spark, d, FILL).top_customers(),
+        "top_customers_all": lambda spark, d: from_defects(spark, d, FILL).top_customers(k=None),
+        "top_customers_by_id": lambda spark, d: from_defects(spark, d, FILL).top_customers(k=None, by_id=True),
         "monthly_revenue_fill": lambda spark, d: reports.monthly_revenue(from_defects(spark, d, FILL).orders),
-        "popular_categories_fill": lambda spark, d: star_reports.popular_categories(from_defects(spark, d, FILL)),
+        "popular_categories_fill": lambda spark, d: from_defects(spark, d, FILL).popular_categories(),
         "order_status_fill": lambda spark, d: reports.order_status(
             from_defects(spark, d, FILL).orders, percentage=False
         ),
@@ -76,14 +74,14 @@ def queries() -> dict[str, Query]:
         "popular_categories_sql": lambda spark, d: _sql_report(spark, d, "popular_categories"),
         "order_status_sql": lambda spark, d: _sql_report(spark, d, "order_status"),
         # Reports that leave unmatched keys out and do not round.
-        "top_customers_unfilled": lambda spark, d: star_reports.top_customers(
-            from_defects(spark, d, DROP_ONLY), drop_unmatched=True, digits=None
+        "top_customers_unfilled": lambda spark, d: from_defects(spark, d, DROP_ONLY).top_customers(
+            drop_unmatched=True, digits=None
         ),
         "monthly_revenue_ym_unfilled": lambda spark, d: reports.monthly_revenue(
             from_defects(spark, d, DROP_ONLY).orders, year_and_month=True, drop_unmatched=True, digits=None
         ),
-        "popular_categories_unfilled": lambda spark, d: star_reports.popular_categories(
-            from_defects(spark, d, DROP_ONLY), drop_unmatched=True
+        "popular_categories_unfilled": lambda spark, d: from_defects(spark, d, DROP_ONLY).popular_categories(
+            drop_unmatched=True
         ),
         "order_status_half_even": lambda spark, d: reports.order_status(
             from_defects(spark, d, DROP_ONLY).orders, rounding=shares.HALF_EVEN, by_status=True, drop_unmatched=True
@@ -101,6 +99,14 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
 
 
+def _top_customers(spark: SparkSession, folder: str, **options) -> DataFrame:
+    return star_reports.top_customers(star.order_sums(spark, folder), star.customers(spark, folder), **options)
+
+
+def _popular_categories(spark: SparkSession, folder: str, **options) -> DataFrame:
+    return star_reports.popular_categories(star.orders(spark, folder), star.products(spark, folder), **options)
+
+
 def _recent_revenue(spark: SparkSession, folder: str, **window) -> DataFrame:
     newest = dates.newest(star.headers(spark, folder))
     recent = star.order_sums(spark, folder, since=dates.window_start(newest, **window))
@@ -138,7 +144,7 @@ def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _written_table(spark: SparkSession, folder: str, modes: tuple[str, ...]) -> DataFrame:
-    details = from_defects(spark, folder, FILL).order_details()
+    details = session.staged(from_defects(spark, folder, FILL).order_details(), "order-details")
     database, location = _new_database(spark)
     table = f"{database}.order_details"
     catalog.ensure_database(spark, database, location)

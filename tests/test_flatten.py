@@ -21,7 +21,7 @@ ORDERS = [
 @pytest.fixture
 def inputs(make):
     def build(variant, orders=ORDERS, customers=CUSTOMERS):
-        return Inputs.cleaned(make("orders", orders), make("customers", customers), make("products", PRODUCTS), variant)
+        return Inputs(make("orders", orders), make("customers", customers), make("products", PRODUCTS), variant)
 
     return build
 

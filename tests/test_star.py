@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tillroll.functions import dates
-from tillroll.operators import reports
+from tillroll.operators import flatten, reports
 from tillroll.plans import star_reports
-from tillroll.plans.inputs import FILL, from_defects, from_star, star_order_details
+from tillroll.plans.inputs import FILL, from_defects, star_order_details
 from tillroll.sources import star
 
 SF = "/root/testdata/sf0.001"
@@ -36,7 +36,7 @@ def test_entry(spark):
 
 
 def test_status_filter_reaches_the_scan(spark, conf):
-    text = plan(star_reports.top_customers(from_star(spark, SF, summed=True)))
+    text = plan(entry.queries()["top_customers"](spark, SF))
     assert "EqualNullSafe(o_orderstatus,F)" in text
     assert "Python" not in text
     assert "email" not in text and "c_acctbal" not in text
@@ -62,13 +62,13 @@ def test_lines_are_summed_before_the_join(spark, conf):
 
 def test_orders_meet_customers_summed(spark, conf):
     conf(autoBroadcastJoinThreshold="-1")
-    text = plan(star_reports.top_customers(from_defects(spark, SF, FILL)))
+    text = plan(from_defects(spark, SF, FILL).top_customers())
     join = text.index("SortMergeJoin [customer_id")
     assert text.index("HashAggregate(keys=[customer_id", join) < text.index("SortMergeJoin [l_orderkey", join)
 
 
 def test_details_of_the_star_equal_the_general_plan(spark):
-    one, other = star_order_details(spark, SF), from_star(spark, SF).order_details()
+    one, other = star_order_details(spark, SF), flatten.order_details(star.orders(spark, SF), star.customers(spark, SF), star.products(spark, SF))
     assert one.columns == other.columns
     assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
 
@@ -78,6 +78,6 @@ def test_properties_of_the_reports(spark):
     status = rows(reports.order_status(orders))
     assert sum(n for _, n, _ in status) == orders.count()
     assert abs(sum(p for *_, p in status) - 100) <= 0.02
-    spent = star_reports.top_customers(from_star(spark, SF), k=None).agg(F.sum(F.col("total_spend").cast("decimal(18,2)")))
+    spent = star_reports.top_customers(orders, star.customers(spark, SF), k=None).agg(F.sum(F.col("total_spend").cast("decimal(18,2)")))
     earned = reports.monthly_revenue(orders).agg(F.sum(F.col("monthly_revenue").cast("decimal(18,2)")))
     assert spent.first()[0] == earned.first()[0]

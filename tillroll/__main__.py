@@ -41,7 +41,7 @@ def parse(arguments: list[str]) -> argparse.Namespace:
 
 def run(spark: SparkSession, options: argparse.Namespace) -> None:
     customers, products, orders = files.read_inputs(spark, options.input)
-    details = Inputs.cleaned(orders, customers, products, VARIANTS[options.variant]).order_details()
+    details = Inputs(orders, customers, products, VARIANTS[options.variant]).order_details()
     if options.csv:
         paths = publish.to_csv(details, options.csv, options.style, options.as_of)
         files.csv_report(spark, paths).show(truncate=False)

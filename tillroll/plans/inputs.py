@@ -14,12 +14,15 @@ DROP_ONLY  rows dropped     as read     null
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll import schemas
 from tillroll.operators import clean, flatten
+from tillroll.plans import star_reports
 from tillroll.sources import defects, star
 
 
@@ -35,43 +38,57 @@ DROP = Variant("drop", "none", True)
 DROP_ONLY = Variant("drop", "none", False)
 
 
-@dataclass(frozen=True)
 class Inputs:
-    """Cleaned orders, customers and products; ``filled`` as in ``flatten.order_details``."""
-
-    orders: DataFrame
-    customers: DataFrame
-    products: DataFrame
-    filled: bool = True
-
-    @classmethod
-    def cleaned(cls, orders: DataFrame, customers: DataFrame, products: DataFrame, variant: Variant) -> Inputs:
-        return cls(
-            clean.orders(orders, variant.orders, fill_keys=False),
-            clean.customers(customers, variant.dimensions),
-            clean.products(products, variant.dimensions),
-            variant.filled,
-        )
+    """Orders, customers and products, cleaned as a variant says when first used."""
+
+    def __init__(
+        self,
+        orders: Callable[[], DataFrame] | DataFrame,
+        customers: Callable[[], DataFrame] | DataFrame,
+        products: Callable[[], DataFrame] | DataFrame,
+        variant: Variant = FILL,
+    ) -> None:
+        self._orders, self._customers, self._products = orders, customers, products
+        self.variant = variant
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return clean.orders(_frame(self._orders), self.variant.orders, fill_keys=False)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return clean.customers(_frame(self._customers), self.variant.dimensions)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return clean.products(_frame(self._products), self.variant.dimensions)
 
     def order_details(self, columns: tuple[str, ...] = flatten.COLUMNS, **options) -> DataFrame:
+        """``flatten.order_details`` with its options."""
         return flatten.order_details(
-            self.orders, self.customers, self.products, columns=columns, filled=self.filled, **options
+            self.orders, self.customers, self.products, columns=columns, filled=self.variant.filled, **options
         )
 
+    def top_customers(self, **options) -> DataFrame:
+        """``star_reports.top_customers`` with its options."""
+        return star_reports.top_customers(self.orders, self.customers, self.variant.filled, **options)
 
-def from_star(spark: SparkSession, folder: str, summed: bool = False) -> Inputs:
-    """The star tables as they are; ``summed`` takes the lines summed per order."""
-    return Inputs(
-        star.order_sums(spark, folder) if summed else star.orders(spark, folder),
-        clean.customers(star.customers(spark, folder), "none"),
-        clean.products(star.products(spark, folder), "none"),
-    )
+    def popular_categories(self, **options) -> DataFrame:
+        """``star_reports.popular_categories`` with its options."""
+        return star_reports.popular_categories(self.orders, self.products, self.variant.filled, **options)
+
+
+def _frame(source: Callable[[], DataFrame] | DataFrame) -> DataFrame:
+    return source() if callable(source) else source
 
 
 def from_defects(spark: SparkSession, folder: str, variant: Variant) -> Inputs:
-    """The star tables with planted defects, cleaned."""
-    return Inputs.cleaned(
-        defects.orders(spark, folder), defects.customers(spark, folder), defects.products(spark, folder), variant
+    """The star tables with planted defects."""
+    return Inputs(
+        partial(defects.orders, spark, folder),
+        partial(defects.customers, spark, folder),
+        partial(defects.products, spark, folder),
+        variant,
     )
 
 

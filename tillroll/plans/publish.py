@@ -61,10 +61,7 @@ def to_csv(
     The details are staged as Parquet in the shared folder: the reports then read
     only their columns of it, which CSV would not allow.
     """
-    spark = details.sparkSession
-    staged_path = session.new_folder(spark, "order-details")
-    details.write.parquet(staged_path)
-    staged = spark.read.schema(details.schema).parquet(staged_path)
+    staged = session.staged(details, "order-details")
     paths = {name: posixpath.join(folder, name) for name in schemas.OUTPUT_TABLES}
     for name, df in {"order_details": staged, **report_set(staged, style, as_of)}.items():
         csv.write_csv(df, paths[name], skip_empty=skip_empty)

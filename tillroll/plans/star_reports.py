@@ -16,25 +16,24 @@ from pyspark.sql import functions as F
 
 from tillroll import schemas
 from tillroll.operators import clean, flatten, reports, sums
-from tillroll.plans.inputs import Inputs
 
 
-def top_customers(inputs: Inputs, **options) -> DataFrame:
+def top_customers(orders: DataFrame, customers: DataFrame, filled: bool = True, **options) -> DataFrame:
     """``reports.top_customers`` with its options."""
-    spend = flatten.with_customers(_completed_sums(inputs, "customer_id"), inputs.customers)
-    return reports.top_customers(_filled(spend, inputs), **options)
+    spend = flatten.with_customers(_completed_sums(orders, "customer_id"), customers)
+    return reports.top_customers(_filled(spend, filled), **options)
 
 
-def popular_categories(inputs: Inputs, **options) -> DataFrame:
+def popular_categories(orders: DataFrame, products: DataFrame, filled: bool = True, **options) -> DataFrame:
     """``reports.popular_categories`` with its options."""
-    counts = flatten.with_products(_completed_sums(inputs, "product_id"), inputs.products, ("category",))
-    return reports.popular_categories(_filled(counts, inputs), **options)
+    counts = flatten.with_products(_completed_sums(orders, "product_id"), products, ("category",))
+    return reports.popular_categories(_filled(counts, filled), **options)
 
 
-def _completed_sums(inputs: Inputs, key: str) -> DataFrame:
-    summed = sums.presum(reports.completed(inputs.orders), key)
+def _completed_sums(orders: DataFrame, key: str) -> DataFrame:
+    summed = sums.presum(reports.completed(orders), key)
     return summed.withColumn("status", F.lit(schemas.COMPLETED))
 
 
-def _filled(df: DataFrame, inputs: Inputs) -> DataFrame:
-    return clean.fill(df, schemas.DETAIL_DEFAULTS) if inputs.filled else df
+def _filled(df: DataFrame, filled: bool) -> DataFrame:
+    return clean.fill(df, schemas.DETAIL_DEFAULTS) if filled else df

@@ -6,7 +6,7 @@ import posixpath
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,3 +50,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared root that no other run uses. It is not created."""
     app = spark.sparkContext.applicationId
     return posixpath.join(shared_root(spark), "tillroll", app, f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared root and read it back.
+
+    What builds on it neither computes ``df`` again nor depends on the executors
+    that did.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -29,10 +29,7 @@ def write_one_csv(df: DataFrame, path: str, order_by: tuple = (), max_rows: int
     turns out to have at most ``max_rows`` rows does one task copy it. A larger
     one raises, with ``path`` untouched: use ``write_csv``.
     """
-    spark = df.sparkSession
-    staged_path = session.new_folder(spark, "one-csv")
-    df.write.parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
+    staged = session.staged(df, "one-csv")
     rows = staged.count()
     if rows > max_rows:
         raise ValueError(f"{rows} rows are too many for one file (max_rows={max_rows})")

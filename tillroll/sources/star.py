@@ -17,8 +17,20 @@ from tillroll.operators import sums
 from tillroll.sources import files
 
 ORDER_COLUMNS = ("order_id", "customer_id", "product_id", "order_date", "amount", "status")
-_OF_HEADER = {"customer_id", "order_date", "status"}
-
+_HEADER = ("customer_id", "order_date", "status")
+
+# The status codes are tested null-safely and one inside the other: Catalyst then
+# folds "status = 'completed'" to a test of the code and pushes it into the scan.
+_EXPRESSIONS = {
+    "order_id": "l_orderkey",
+    "line_number": "l_linenumber",
+    "product_id": "l_partkey",
+    "amount": "l_extendedprice",
+    "customer_id": "o_custkey",
+    "order_date": "CAST(o_orderdate AS DATE)",
+    "status": "if(o_orderstatus <=> 'F', 'completed',"
+    " if(o_orderstatus <=> 'O', 'pending', if(o_orderstatus <=> 'P', 'cancelled', 'unknown')))",
+}
 
 _schemas: dict[tuple[str, str], T.StructType] = {}
 
@@ -32,69 +44,42 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return df
 
 
-def _status(code: str) -> Column:
-    # Null-safe tests nested one by one: Catalyst then folds "status = 'completed'"
-    # to a test of the raw code and pushes it into the Parquet scan.
-    status = F.lit("unknown")
-    for raw, name in (("P", "cancelled"), ("O", "pending"), ("F", "completed")):
-        status = F.when(F.col(code).eqNullSafe(raw), name).otherwise(status)
-    return status
-
-
-def _order_column(name: str) -> Column:
-    column = {
-        "order_id": lambda: F.col("l_orderkey"),
-        "line_number": lambda: F.col("l_linenumber"),
-        "product_id": lambda: F.col("l_partkey"),
-        "amount": lambda: F.col("l_extendedprice"),
-        "customer_id": lambda: F.col("o_custkey"),
-        "order_date": lambda: F.col("o_orderdate").cast("date"),
-        "status": lambda: _status("o_orderstatus"),
-    }[name]()
-    return column.alias(name)
-
-
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
     return (
         table(spark, folder, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("name"),
-            F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("_"))), F.lit("@example.com")).alias("email"),
-            F.col("n_name").alias("country"),
+        .selectExpr(
+            "c_custkey AS customer_id",
+            "c_name AS name",
+            "concat(lower(replace(c_name, '#', '_')), '@example.com') AS email",
+            "n_name AS country",
         )
     )
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("price"),
+    return table(spark, folder, "part").selectExpr(
+        "p_partkey AS product_id", "p_name AS name", "p_type AS category", "p_retailprice AS price"
     )
 
 
 def headers(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order key: order_id, customer_id, order_date, status."""
-    return table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_id"), *[_order_column(name) for name in ORDER_COLUMNS if name in _OF_HEADER]
-    )
+    return table(spark, folder, "orders").selectExpr("o_orderkey AS order_id", *_select(*_HEADER))
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """One row per line item: order_id, product_id, amount."""
-    return orders(spark, folder, tuple(name for name in ORDER_COLUMNS if name not in _OF_HEADER))
+    return orders(spark, folder, ("order_id", "product_id", "amount"))
 
 
 def orders(spark: SparkSession, folder: str, columns: tuple[str, ...] = ORDER_COLUMNS) -> DataFrame:
     """Order rows at line grain; ``line_number`` may be asked for as well."""
     df = table(spark, folder, "lineitem")
-    if _OF_HEADER.intersection(columns):
+    if any(name in _HEADER for name in columns):
         df = df.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    return df.select(*[_order_column(name) for name in columns])
+    return df.selectExpr(*_select(*columns))
 
 
 def order_sums(spark: SparkSession, folder: str, since: Column | None = None) -> DataFrame:
@@ -110,6 +95,8 @@ def order_sums(spark: SparkSession, folder: str, since: Column | None = None) ->
     if since is not None:
         raw = raw.filter(F.col("o_orderdate") >= since.cast("timestamp_ntz"))
     joined = summed.join(raw, F.col("l_orderkey") == F.col("o_orderkey"), "left" if since is None else "inner")
-    return joined.select(
-        "l_orderkey", *[_order_column(name) for name in sorted(_OF_HEADER)], money.UNITS, money.MICROS, sums.ROWS
-    ).withColumnRenamed("l_orderkey", "order_id")
+    return joined.selectExpr(*_select("order_id", *_HEADER), money.UNITS, money.MICROS, sums.ROWS)
+
+
+def _select(*names: str) -> list[str]:
+    return [f"{_EXPRESSIONS[name]} AS {name}" for name in names]
