@@ -67,11 +67,14 @@ def queries() -> dict[str, Query]:
         ),
         # Reports as SQL text, incomplete orders dropped.
         "top_customers_sql": lambda spark, d: _sql_report(spark, d, "top_customers"),
+        "top_customers_all_sql": lambda spark, d: _sql_report(spark, d, "top_customers", k=None),
         "monthly_revenue_sql": lambda spark, d: _sql_report(spark, d, "monthly_revenue"),
-        "monthly_revenue_recent_sql": lambda spark, d: _sql_report(
-            spark, d, "monthly_revenue_recent", as_of="2001-08-01"
+        "monthly_revenue_recent_sql": lambda spark, d: _sql_report(spark, d, "monthly_revenue", as_of="2001-08-01"),
+        "monthly_revenue_six_months_sql": lambda spark, d: _sql_report(
+            spark, d, "monthly_revenue", as_of="2001-08-01", months=6
         ),
         "popular_categories_sql": lambda spark, d: _sql_report(spark, d, "popular_categories"),
+        "popular_categories_all_sql": lambda spark, d: _sql_report(spark, d, "popular_categories", k=None),
         "order_status_sql": lambda spark, d: _sql_report(spark, d, "order_status"),
         # Reports that leave unmatched keys out and do not round.
         "top_customers_unfilled": lambda spark, d: from_defects(spark, d, DROP_ONLY).top_customers(
@@ -113,8 +116,10 @@ def _recent_revenue(spark: SparkSession, folder: str, **window) -> DataFrame:
     return reports.monthly_revenue(recent, descending=True, as_of=newest, **window)
 
 
-def _sql_report(spark: SparkSession, folder: str, name: str, as_of: str | None = None) -> DataFrame:
-    return sql_reports.report(spark, name, from_defects(spark, folder, DROP).order_details(), as_of)
+def _sql_report(spark: SparkSession, folder: str, name: str, **options) -> DataFrame:
+    # The keys of the star tables are unique, so dimensions a report does not read stay out.
+    details = from_defects(spark, folder, DROP).order_details(sql_reports.COLUMNS[name], unique_keys=True)
+    return sql_reports.report(spark, name, details, **options)
 
 
 def _audit(spark: SparkSession, folder: str) -> DataFrame:

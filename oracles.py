@@ -255,8 +255,12 @@ GROUP BY customer_id, customer_name, country""",
     "popular_categories_fill": _FILL_DETAILS + _categories(),
     "order_status_fill": _FILL_DETAILS + _STATUS,
     "top_customers_sql": _DROP_DETAILS + _top_customers(),
+    "top_customers_all_sql": _DROP_DETAILS + _top_customers(limit=""),
     "monthly_revenue_sql": _DROP_DETAILS + _monthly(),
     "monthly_revenue_recent_sql": _DROP_DETAILS + _monthly(" AND order_date >= DATE '2001-08-01' - INTERVAL 180 DAY"),
+    "monthly_revenue_six_months_sql": _DROP_DETAILS
+    + _monthly(" AND order_date >= DATE '2001-08-01' - INTERVAL 6 MONTH"),
+    "popular_categories_all_sql": _DROP_DETAILS + _categories(),
     "popular_categories_sql": _DROP_DETAILS + _categories(limit=" LIMIT 5"),
     "order_status_sql": _DROP_DETAILS + _STATUS_PCT,
     "top_customers_unfilled": _DROP_ONLY_DETAILS

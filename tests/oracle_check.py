@@ -1,6 +1,6 @@
 """Compare registered queries with their SQL oracles at a scale factor.
 
-    python tests/oracle_check.py /root/testdata/sf0.01 [name ...]
+    python tests/oracle_check.py /root/testdata/sf0.01 [name ...] [spark.some.setting=value ...]
 """
 
 from __future__ import annotations
@@ -55,8 +55,10 @@ def compare(spark, con, name: str, folder: str) -> str:
 
 
 def main() -> int:
-    folder, names = sys.argv[1], sys.argv[2:]
-    spark = session.build_session("oracle-check", "local[8]", CONF)
+    folder, *rest = sys.argv[1:]
+    names = [word for word in rest if "=" not in word]
+    conf = dict(word.split("=", 1) for word in rest if "=" in word)
+    spark = session.build_session("oracle-check", "local[8]", {**CONF, **conf})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     failures = 0

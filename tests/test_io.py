@@ -134,6 +134,14 @@ def test_declared_types(spark, make, database):
         catalog.write_table(make("details", []), table, "replace")
 
 
+def test_wide_types():
+    wide = {name: schemas.table_types(name) for name in schemas.OUTPUT_TABLES}
+    assert wide["order_details"]["order_id"] == wide["popular_categories"]["order_count"] == "BIGINT"
+    assert wide["order_details"]["amount"] == "DECIMAL(18,2)"
+    assert wide["top_customers"]["total_spend"] == wide["monthly_revenue"]["monthly_revenue"] == "DECIMAL(28,2)"
+    assert wide["order_status"]["percentage"] == "DECIMAL(5,2)"
+
+
 def test_columns_are_matched_by_name(spark, make, database):
     table = f"{database}.popular_categories"
     catalog.create_table(spark, table, schemas.table_types("popular_categories"))

@@ -129,7 +129,22 @@ def test_sql_text_gives_the_same_reports(spark, details):
     assert rows(sql_reports.report(spark, "monthly_revenue", details)) == rows(
         reports.monthly_revenue(details, descending=True)
     )
-    assert rows(sql_reports.report(spark, "monthly_revenue_recent", details, as_of="2024-07-30")) == [("2024-03", 20.6)]
+    assert rows(sql_reports.report(spark, "monthly_revenue", details, as_of="2024-07-30")) == [("2024-03", 20.6)]
+    for months in (6, 7):
+        assert rows(sql_reports.report(spark, "monthly_revenue", details, as_of="2024-07-31", months=months)) == rows(
+            reports.monthly_revenue(details, descending=True, as_of="2024-07-31", months=months)
+        )
+    assert rows(sql_reports.report(spark, "top_customers", details, k=None)) == rows(reports.top_customers(details, k=None))
+    assert rows(sql_reports.report(spark, "popular_categories", details, k=1)) == [("Office", 2)]
+    with pytest.raises(ValueError):
+        sql_reports.statement("monthly_revenue", as_of="2024-07-31' OR 'a")
+
+
+def test_sql_text_reads_only_its_columns(spark, details):
+    for name, columns in sql_reports.COLUMNS.items():
+        assert rows(sql_reports.report(spark, name, details.select(*columns))) == rows(
+            sql_reports.report(spark, name, details)
+        )
 
 
 def test_sql_text_over_a_view(spark, details):

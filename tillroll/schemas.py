@@ -95,14 +95,18 @@ TABLE_TYPES = {
     "order_status": {"status": "VARCHAR(50)", "order_count": "INT", "percentage": "DECIMAL(5,2)"},
 }
 
-# Types that hold ids, counts and summed money of large inputs.
-_WIDER = {"INT": "BIGINT", "DECIMAL(10,2)": "DECIMAL(18,2)"}
+# Types for large inputs. A sum of money gets more digits than a single amount.
+_WIDER = {"INT": "BIGINT", "DECIMAL(10,2)": "DECIMAL(28,2)"}
 
 
 def table_types(table: str, wide: bool = True) -> dict[str, str]:
     """Column types of an output table; ``wide`` widens ids, counts and money."""
-    types = TABLE_TYPES[table]
-    return {name: _WIDER.get(kind, kind) for name, kind in types.items()} if wide else dict(types)
+    types = dict(TABLE_TYPES[table])
+    if wide:
+        types = {name: _WIDER.get(kind, kind) for name, kind in types.items()}
+        if "amount" in types:
+            types["amount"] = "DECIMAL(18,2)"
+    return types
 
 
 # Defaults for missing values, and the known order statuses.

@@ -29,7 +29,7 @@ def create_table(
 
 
 def create_tables(spark: SparkSession, database: str, wide: bool = True, recreate: bool = False) -> None:
-    """The five output tables. ``wide`` takes BIGINT ids and counts and DECIMAL(18,2) money."""
+    """The five output tables; ``wide`` as in ``schemas.table_types``."""
     for name in schemas.OUTPUT_TABLES:
         create_table(spark, f"{database}.{name}", schemas.table_types(name, wide), recreate)
 
