@@ -43,7 +43,7 @@ def queries() -> dict[str, Query]:
         "order_details_fill": lambda spark, d: from_defects(spark, d, FILL).order_details(),
         "order_details_drop": lambda spark, d: from_defects(spark, d, DROP).order_details(),
         "order_details_drop_nofill": lambda spark, d: from_defects(spark, d, DROP_ONLY).order_details(),
-        "order_details_salted": lambda spark, d: from_defects(spark, d, FILL).order_details(hot_share=1 / 10_000),
+        "order_details_salted": lambda spark, d: from_defects(spark, d, FILL).order_details(hot_share=1 / 1_000),
         # Reports over clean inputs.
         "top_customers": _top_customers,
         "monthly_revenue": lambda spark, d: reports.monthly_revenue(star.order_sums(spark, d)),
