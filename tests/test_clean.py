@@ -6,7 +6,7 @@ import math
 import pytest
 from helpers import plan, rows
 
-from tillroll.operators import clean
+from tillroll.operators import clean, reports
 
 DAY = datetime.date(2024, 3, 17)
 ORDERS = [
@@ -73,3 +73,10 @@ def test_drop_policy_reaches_the_scan(spark, make, tmp_path):
     for name in ("order_id", "customer_id", "product_id", "order_date", "amount", "status"):
         assert f"IsNotNull({name})" in text
     assert "Python" not in text
+
+
+def test_status_tests_reach_the_scan_of_filled_orders(spark, make, tmp_path):
+    make("orders", ORDERS).write.parquet(str(tmp_path / "orders"))
+    orders = clean.orders(spark.read.parquet(str(tmp_path / "orders")), "fill")
+    assert "Or(IsNull(status),In(status, [cancelled,completed,pending,unknown]))" in plan(orders)
+    assert "EqualNullSafe(status,completed)" in plan(reports.completed(orders))

@@ -58,14 +58,31 @@ def orders(df: DataFrame, policy: str = "fill", fill_keys: bool = True) -> DataF
         # One test per column, not na.drop(): these reach the scan as pushed filters.
         df = df.filter(reduce(and_, [is_present(df, name) for name in df.columns]))
     if policy == "fill":
-        defaults = schemas.ORDER_DEFAULTS
+        df = df.filter(
+            F.col("order_id").isNotNull() & (F.col("status").isNull() | F.col("status").isin(*schemas.STATUSES))
+        )
+        defaults = dict(schemas.ORDER_DEFAULTS)
+        df = df.withColumn("status", _listed_status(defaults.pop("status")))
         if not fill_keys:
-            defaults = {k: v for k, v in defaults.items() if k not in ("customer_id", "product_id")}
-        # The status is filled before it is tested, so a missing one stays as "unknown".
-        df = fill(df, defaults).filter(F.col("order_id").isNotNull() & F.col("status").isin(*schemas.STATUSES))
+            del defaults["customer_id"], defaults["product_id"]
+        df = fill(df, defaults)
     return df.withColumn("order_date", dates.parse(F.col("order_date")))
 
 
+def _listed_status(default: str) -> Column:
+    """The status where it is listed, else the default: only missing ones are left to get it.
+
+    One null-safe test per status, one inside the other with the first status
+    outermost: Catalyst then folds a later ``status = 'completed'`` to a test of
+    the raw column, which the scan gets.
+    """
+    status = F.lit(default)
+    for listed in reversed(schemas.STATUSES):
+        if listed != default:
+            status = F.when(F.col("status").eqNullSafe(listed), listed).otherwise(status)
+    return status
+
+
 def _check(policy: str) -> None:
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
