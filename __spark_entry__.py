@@ -20,6 +20,14 @@ from tillroll.plans.inputs import DROP, DROP_ONLY, FILL, from_defects, star_orde
 from tillroll.sinks import catalog, csv
 from tillroll.sources import defects, files, star
 
+try:
+    import corpus_pipeline
+    from tillroll.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tillroll.llm"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -95,11 +103,16 @@ def queries() -> dict[str, Query]:
         "csv_roundtrip": _csv_roundtrip,
         "table_roundtrip": lambda spark, d: _written_table(spark, d, ("overwrite", "overwrite")),
         "table_append": lambda spark, d: _written_table(spark, d, ("append", "append")),
+        **_llm_queries(),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | (llm.ORACLES if llm else {})
+
+
+def _llm_queries() -> dict[str, Query]:
+    return llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {}
 
 
 def _top_customers(spark: SparkSession, folder: str, **options) -> DataFrame:
