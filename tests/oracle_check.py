@@ -36,7 +36,7 @@ def canonical(table: pa.Table) -> list[tuple]:
 
 
 KINDS = {"int": "int32", "bigint": "int64", "double": "float64", "string": "string", "date": "date"}
-DUCK = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64", "VARCHAR": "string", "DATE": "date"}
+DUCK = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean"}
 
 
 def compare(spark, con, name: str, folder: str) -> str:
