@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import exact, mixing
+from tillroll.llm import bbit, exact, langid, mixing, pieces
 from tillroll.llm.tables import read
 
 
@@ -12,11 +13,29 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    learned = docs.filter(~held_out).filter("doc_id IS NOT NULL").select("text", "lang")
+    found = langid.detect(docs, langid.train(learned))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every text, and whether decoding them gives the text back."""
+    docs = read(spark, folder, "documents")
+    return pieces.round_trip(docs, pieces.read_model(spark))
+
+
+def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return bbit.near(read(spark, folder, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.groups(read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op5_language_id, op6_pieces, op7_near_dedup, op8_exact_dedup)}
 
 ORACLES = {
     "op2_mixing": r"""
