@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -177,11 +178,9 @@ def known(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFr
 
     One pass over the texts: the rows themselves go through the scoring, so nothing is joined.
     """
-    marked = docs.withColumn("_lang_text", F.col(text_col))
-
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lettered = vectors(batch["_lang_text"].tolist()).any(axis=1) & bool(profiles.langs)
-            yield batch[lettered].drop(columns="_lang_text")
+            lettered = vectors(batch.column(text_col).to_pylist()).any(axis=1) & bool(profiles.langs)
+            yield batch.filter(pa.array(lettered))
 
-    return marked.mapInPandas(keep, docs.schema)
+    return docs.mapInArrow(keep, docs.schema)
