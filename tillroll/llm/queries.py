@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bbit, exact, langid, mixing, pieces
+from tillroll.llm import bbit, exact, langid, merkle, mixing, pieces, toxicity
 from tillroll.llm.tables import read
 
 
@@ -13,6 +13,19 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.compared(read(spark, folder, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    lexicon = toxicity.learn(docs, read(spark, folder, "labels").filter(~held_out).select("doc_id", "toxic"))
+    found = toxicity.score(docs, lexicon)
+    predicted = (F.col("score") >= 0.7).cast("int")
+    return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"), "hits", "words")
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -35,7 +48,7 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.groups(read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op5_language_id, op6_pieces, op7_near_dedup, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_fingerprints, op4_toxicity, op5_language_id, op6_pieces, op7_near_dedup, op8_exact_dedup)}
 
 ORACLES = {
     "op2_mixing": r"""
