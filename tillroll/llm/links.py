@@ -62,7 +62,8 @@ def clusters(
 ) -> DataFrame:
     """id and component for all ids that are linked with another one.
 
-    ``buckets`` has key and id: ids that share a key are candidates. ``sets_of`` takes a
+    ``buckets`` has distinct rows of key and id: ids that share a key are candidates. It is
+    computed twice, so a caller whose buckets are costly writes them first. ``sets_of`` takes a
     DataFrame of ids and gives their id and grams. ``likely`` is a condition over a and b,
     structs of the columns of ``notes`` (one row per id), that pairs must meet before their
     whole sets are compared.
@@ -72,11 +73,11 @@ def clusters(
     ids of different components that are left in one bucket are then compared with each
     other, and only likely pairs leave that join. No candidate is dropped.
     """
-    buckets = session.staged(buckets.select("key", "id"), "buckets")
-    shared = buckets.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z")
-    rows = session.staged(buckets.join(shared.select("key", "a"), "key").select("key", "id", "a"), "shared-buckets")
+    shared = buckets.groupBy("key").count().filter("count > 1").select("key")
+    rows = session.staged(buckets.select("key", "id").join(shared, "key"), "shared-buckets")
     sets = session.staged(sets_of(rows.select("id").distinct()), "sets")
-    pairs = rows.filter("a < id").select("a", F.col("id").alias("b")).distinct()
+    centres = rows.groupBy("key").agg(F.min("id").alias("a"))
+    pairs = rows.join(centres, "key").filter("a < id").select("a", F.col("id").alias("b")).distinct()
     edges = confirmed(_noted(pairs, likely, notes), sets, percent)
     edges = session.staged(edges, "links")
     for centred in (True, False):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bbit, exact, langid, merkle, mixing, pieces, toxicity
+from tillroll.llm import bbit, bwt, exact, langid, merkle, mixing, paragraphs, pieces, toxicity
 from tillroll.llm.tables import read
 
 
@@ -48,7 +48,16 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.groups(read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_fingerprints, op4_toxicity, op5_language_id, op6_pieces, op7_near_dedup, op8_exact_dedup)}
+def op9_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated(read(spark, folder, "documents"))
+
+
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = bwt.removed(read(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_fingerprints, op4_toxicity, op5_language_id, op6_pieces, op7_near_dedup, op8_exact_dedup, op9_paragraph_dedup, op10_suffix_dedup)}
 
 ORACLES = {
     "op2_mixing": r"""
