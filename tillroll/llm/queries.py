@@ -2,13 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bbit, bwt, exact, langid, merkle, mixing, paragraphs, pieces, toxicity
+from tillroll.llm import bbit, bwt, exact, langid, merkle, mixing, paragraphs, pieces, toxicity, url_filters
 from tillroll.llm.tables import read
 
 
+def _drawn(text: Column) -> Column:
+    """24 bits of a hash that SQL has as well."""
+    return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("bigint")
+
+
+def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages against lists made of them: hosts blocked, released and blocked again, parts of hosts
+    allowed, single pages blocked. The tables have no days, so hashes of ids and patterns give them."""
+    pages = read(spark, folder, "pages")
+    start = F.lit("2020-01-01").cast("date")
+    day = F.date_add(start, (_drawn(F.col("page_id").cast("string")) % 1461).cast("int"))
+    captures = pages.select("page_id", "url", day.alias("fetched_on"))
+    parts = pages.select(url_filters.host(F.col("url")).alias("host"), url_filters.path(F.col("url")).alias("path"))
+    parts = parts.filter("host <> ''")
+    whole = parts.select("host").distinct().select(F.col("host").alias("pattern"), _drawn(F.col("host")).alias("h"))
+    section = F.concat("host", F.lit("/"), F.element_at("path", 1))
+    section = parts.filter(F.size("path") > 0).select(section.alias("pattern")).distinct().withColumn("h", _drawn(F.col("pattern")))
+    page = F.concat("host", F.lit("/"), F.array_join(F.slice("path", 1, 2), "/"))
+    page = parts.filter(F.size("path") > 1).select(page.alias("pattern")).distinct().withColumn("h", _drawn(F.col("pattern")))
+
+    def dated(rows: DataFrame, effect: str, days: int, action: str, condition: str) -> DataFrame:
+        at = F.date_add(start, (F.col("h") % 700 + days).cast("int"))
+        return rows.filter(condition).select("pattern", F.lit(effect).alias("effect"), at.alias("day"), F.lit(action).alias("action"))
+
+    entries = (
+        dated(whole, "block", 0, "add", "h % 3 <> 0")
+        .union(dated(whole, "block", 300, "remove", "h % 2 = 0"))
+        .union(dated(whole, "block", 500, "add", "h % 5 < 2"))
+        .union(dated(section, "allow", 100, "add", "h % 4 = 0"))
+        .union(dated(section, "allow", 600, "remove", "h % 8 = 0"))
+        .union(dated(page, "block", 0, "add", "h % 7 = 0"))
+    )
+    return url_filters.filtered(captures, entries)
+
+
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
@@ -57,9 +92,40 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_fingerprints, op4_toxicity, op5_language_id, op6_pieces, op7_near_dedup, op8_exact_dedup, op9_paragraph_dedup, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_mixing, op3_fingerprints, op4_toxicity, op5_language_id, op6_pieces, op7_near_dedup, op8_exact_dedup, op9_paragraph_dedup, op10_suffix_dedup)}
 
 ORACLES = {
+    "op1_url_filters": r"""
+        WITH parsed AS (
+            SELECT page_id, DATE '2020-01-01' + (('0x' || substr(md5(page_id::VARCHAR), 1, 6))::BIGINT % 1461)::INTEGER AS fetched_on,
+                   regexp_replace(lower(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '\.+$', '') AS host,
+                   list_filter(string_split(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda x: x <> '') AS path
+            FROM pages
+        ), patterns AS (
+            SELECT 1 AS parts, host AS pattern FROM parsed WHERE host <> ''
+            UNION SELECT 2, host || '/' || path[1] FROM parsed WHERE host <> '' AND len(path) > 0
+            UNION SELECT 3, host || '/' || path[1] || '/' || path[2] FROM parsed WHERE host <> '' AND len(path) > 1
+        ), hashed AS (
+            SELECT *, ('0x' || substr(md5(pattern), 1, 6))::BIGINT AS h FROM patterns
+        ), entries AS (
+            SELECT pattern, 'block' AS effect, h % 700 AS day, 1 AS added FROM hashed WHERE (parts = 1 AND h % 3 <> 0) OR (parts = 3 AND h % 7 = 0)
+            UNION ALL SELECT pattern, 'block', h % 700 + 300, 0 FROM hashed WHERE parts = 1 AND h % 2 = 0
+            UNION ALL SELECT pattern, 'block', h % 700 + 500, 1 FROM hashed WHERE parts = 1 AND h % 5 < 2
+            UNION ALL SELECT pattern, 'allow', h % 700 + 100, 1 FROM hashed WHERE parts = 2 AND h % 4 = 0
+            UNION ALL SELECT pattern, 'allow', h % 700 + 600, 0 FROM hashed WHERE parts = 2 AND h % 8 = 0
+        ), states AS (  -- the last entry of a pattern on or before the day of the fetch
+            SELECT page_id, e.pattern, e.effect, max_by(e.added, e.day * 2 + e.added) AS state
+            FROM parsed p JOIN entries e
+              ON (p.host = e.pattern OR p.host || '/' || p.path[1] = e.pattern OR p.host || '/' || p.path[1] || '/' || p.path[2] = e.pattern)
+             AND DATE '2020-01-01' + e.day::INTEGER <= p.fetched_on
+            GROUP BY ALL
+        ), top AS (
+            SELECT page_id, count(*) AS active, max_by(pattern, len(pattern)) AS decided_by,
+                   max_by(effect, len(pattern) * 2 + (effect = 'allow')::INTEGER) = 'block' AS blocked
+            FROM states WHERE state = 1 GROUP BY page_id
+        )
+        SELECT page_id, host, fetched_on, coalesce(active, 0) AS active, decided_by, coalesce(blocked, false) AS blocked
+        FROM parsed LEFT JOIN top USING (page_id)""",
     "op2_mixing": r"""
         WITH sized AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
