@@ -22,14 +22,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """id and component (the smallest id reachable) for every id in ``edges`` (a, b; a < b).
+    """id and component (the smallest id reachable) for every id in ``edges`` (distinct a, b; a < b).
 
     Alternates two steps until nothing changes: every id hands its larger neighbours to its
     smallest neighbour, then its smaller ones (large star, small star). Sums come before
     joins, so an id with very many links is one row per task. Each round is written to the
     shared folder.
     """
-    edges = session.staged(edges.select("a", "b").distinct(), "edges")
     before = _state(edges)
     for _ in range(rounds):
         both = edges.union(edges.select("b", "a"))
@@ -68,8 +67,9 @@ def clusters(
     structs of the columns of ``notes`` (one row per id), that pairs must meet before their
     whole sets are compared.
 
-    A bucket's rows meet its centre only: first its smallest id, then, where a bucket still
-    holds several components, one chosen by a hash that differs from bucket to bucket. Only
+    A bucket's rows meet its centre only. First an id meets two at most of its buckets'
+    smallest ids, the smallest and one chosen by a hash. Then, where a bucket still holds
+    several components, its rows meet one that a hash chooses from bucket to bucket. Only
     ids of different components that are left in one bucket are then compared with each
     other, and only likely pairs leave that join. No candidate is dropped.
     """
@@ -77,7 +77,9 @@ def clusters(
     rows = session.staged(buckets.select("key", "id").join(shared, "key"), "shared-buckets")
     sets = session.staged(sets_of(rows.select("id").distinct()), "sets")
     centres = rows.groupBy("key").agg(F.min("id").alias("a"))
-    pairs = rows.join(centres, "key").filter("a < id").select("a", F.col("id").alias("b")).distinct()
+    met = rows.join(centres, "key").filter("a < id").groupBy("id")
+    met = met.agg(F.min("a").alias("low"), F.min(F.struct(F.xxhash64("a", "id").alias("h"), "a")).alias("any"))
+    pairs = met.select(F.explode(F.array_distinct(F.array("low", "any.a"))).alias("a"), F.col("id").alias("b"))
     edges = confirmed(_noted(pairs, likely, notes), sets, percent)
     edges = session.staged(edges, "links")
     for centred in (True, False):
@@ -98,7 +100,7 @@ def clusters(
             pairs = _noted(pairs, likely, notes)
         else:
             pairs = _crossed(rows, likely, notes)
-        edges = session.staged(edges.union(confirmed(pairs, sets, percent)), "links")
+        edges = session.staged(edges.union(confirmed(pairs, sets, percent)).distinct(), "links")
     return components(edges)
 
 
