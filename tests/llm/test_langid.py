@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from tillroll.llm import langid
+
+ALPHABETS = {"xa": "abcdefg", "xb": "efghijk", "xc": "αβγδεζ", "xd": "漢字仮名交文" * 1}
+
+
+def texts(seed, n):
+    draw = random.Random(seed)
+    out = []
+    for i in range(n):
+        lang = list(ALPHABETS)[i % 4]
+        words = ["".join(draw.choices(ALPHABETS[lang], k=draw.randint(2, 7))) for _ in range(30)]
+        out.append((i, " ".join(words).capitalize() + ".", lang, "web", 0))
+    return out
+
+
+def test_held_out_accuracy(docs):
+    profiles = langid.train(docs(texts(1, 200), clash=True))
+    assert profiles.langs == ("xa", "xb", "xc", "xd")
+    rows = texts(2, 200)
+    got = {r.doc_id: r for r in langid.detect(docs(rows, clash=True), profiles).collect()}
+    assert sum(got[r[0]].lang_pred == r[2] for r in rows) / len(rows) >= 0.98
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_odd_rows_and_empty_tables(docs, odd_rows):
+    profiles = langid.train(docs(texts(1, 40)))
+    got = langid.detect(docs(odd_rows), profiles).collect()
+    assert len(got) == len(odd_rows)
+    assert {r.doc_id for r in got if r.lang_pred == "und"} == {1, 2, 3}
+    assert {r.score for r in got if r.lang_pred == "und"} == {0.0}
+    assert langid.detect(docs([]), profiles).collect() == []
+    nothing = langid.train(docs([(1, "abc", None, "web", 3)]))
+    assert nothing.langs == () and langid.detect(docs([(1, "abc")]), nothing).first().lang_pred == "und"
+    kept = langid.known(docs(odd_rows, clash=True), profiles)
+    assert kept.columns == docs([], clash=True).columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r in odd_rows if r[0] not in (1, 2, 3))
+
+
+def test_training_does_not_depend_on_partitions(docs):
+    rows = docs(texts(1, 100))
+    one, many = langid.train(rows.coalesce(1)), langid.train(rows.repartition(7))
+    assert np.array_equal(one.vectors, many.vectors)
+
+
+@pytest.mark.parametrize("text", ["Abc, abd! x", "ab", "a b", "漢字 and kana", "ÀÉ"])
+def test_vectors_follow_the_definition(text):
+    """Bind rotated letters into n-grams and bundle them, one by one."""
+    letters, word = [0], False
+    for char in text.lower():
+        if char.isalpha():
+            letters.append(ord(char))
+        elif letters[-1]:
+            letters.append(0)
+        word = word or char.isalpha()
+    if letters[-1]:
+        letters.append(0)
+    want = np.zeros(langid.DIM)
+    for i in range(len(letters) - 2):
+        want += np.prod([np.roll(langid._letter_vector(c), 2 - k) for k, c in enumerate(letters[i : i + 3])], axis=0)
+    assert np.array_equal(langid.vectors([text])[0], want)
+
+
+def test_long_text_is_read_in_pieces(monkeypatch):
+    text = "ab cd " * 4000
+    whole = langid._units(langid.vectors([text]))
+    monkeypatch.setattr(langid, "CHUNK_CHARS", 1000)
+    assert float((langid._units(langid.vectors([text])) @ whole.T)[0, 0]) > 0.999

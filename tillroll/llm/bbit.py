@@ -53,7 +53,7 @@ def packed(low: np.ndarray) -> np.ndarray:
     """The low BITS bits of mixed minima, 64 / BITS of them in each 64-bit word."""
     each = 64 // BITS
     kept = shingles.mixed(low.astype(np.uint64)) & np.uint64(2**BITS - 1)
-    kept = kept.reshape(len(low), -1, each) << (np.arange(each, dtype=np.uint64) * np.uint64(BITS))
+    kept = kept.reshape(len(low), MINIMA // each, each) << (np.arange(each, dtype=np.uint64) * np.uint64(BITS))
     return np.bitwise_or.reduce(kept, axis=2)
 
 

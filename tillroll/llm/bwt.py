@@ -295,7 +295,8 @@ def spans(docs: DataFrame) -> DataFrame:
     Bit q of a mask stands for the string that starts at ``at - q``.
     """
     found = session.staged(_occurrences(docs), "anchors")
-    again = found.groupBy("kmer").count().filter("count > 1").select("kmer")
+    # Written first: the join is then between two plain shuffles, of which a hot key's part can be split.
+    again = session.staged(found.groupBy("kmer").count().filter("count > 1").select("kmer"), "shared-kmers")
     shared = session.staged(found.join(again, "kmer"), "shared-anchors")
     anchor = F.struct("id", "tie", "place", "first", "last")
     wholes = shared.groupBy("kmer", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(anchor).alias("anchor"))

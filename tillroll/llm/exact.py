@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll import session
 from tillroll.llm.tables import ascii_lower
 
 
@@ -21,7 +22,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt
     meet: (1) each task combines its own rows (Spark's partial aggregation), (2) rows meet
     by digest and salt, so a group with a third of all rows is spread over ``salts`` tasks,
     (3) one winner per salt and text meets by digest. Ids go back to the rows by the digest
-    and two further hashes; that join is on unique keys and carries no text.
+    and two further hashes; that join is on unique keys and carries no text. The winners are
+    written first, so that the join is between two plain shuffles and a hot digest's part
+    can be split.
     """
     text = ascii_lower(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("norm")).withColumn("digest", F.sha2("norm", 256))
@@ -32,7 +35,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt
         F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")
     )
     identity = ("digest", F.xxhash64("norm").alias("check"), F.length("norm").alias("chars"))
-    winners = winners.select(*identity, "keep_id", "group_size")
+    winners = session.staged(winners.select(*identity, "keep_id", "group_size"), "winners")
     return (
         rows.select("doc_id", *identity)
         .join(winners, ["digest", "check", "chars"])

@@ -69,9 +69,11 @@ def _add(out: np.ndarray, pieces: list[str], owners: list[int]) -> None:
         return
     lower = [" " + piece.lower() + " " for piece in pieces]
     codes = np.frombuffer("".join(lower).encode("utf-32-le", "replace"), np.uint32)
-    piece_of = np.repeat(np.arange(len(lower)), [len(x) for x in lower])
+    sizes = np.array([len(x) for x in lower])
+    piece_of = np.repeat(np.arange(len(lower)), sizes)
     letter = _letters()[codes]
     used = letter | np.concatenate(([True], letter[:-1]))  # of a run of other characters the first one
+    used[np.cumsum(sizes) - sizes] = True
     codes, piece_of = np.where(letter, codes, 0)[used], piece_of[used]
     alphabet, symbols = np.unique(codes, return_inverse=True)
     count = len(codes) - NGRAM + 1
@@ -130,9 +132,10 @@ def train(docs: DataFrame, per_lang: int = 4_000, text_col: str = "text", lang_c
             langs = batch["lang"].to_numpy()
             units = _units(vectors(batch["text"].tolist()))
             for lang in set(langs):
-                sums[lang] = sums.get(lang, 0) + units[langs == lang].sum(axis=0, dtype=np.float64)
-        # Whole numbers add up alike in any order, so the profiles do not depend on the partitions.
-        yield pd.DataFrame({"lang": list(sums), "part": [np.rint(x * 2**20).astype(np.int64) for x in sums.values()]})
+                # Whole numbers add up alike in any order, so the profiles do not depend on the partitions.
+                whole = np.rint(units[langs == lang] * 2**20).astype(np.int64)
+                sums[lang] = sums.get(lang, 0) + whole.sum(axis=0)
+        yield pd.DataFrame({"lang": list(sums), "part": list(sums.values())})
 
     parts = sample.mapInPandas(bundle, "lang string, part array<bigint>")
     summed = (

@@ -73,7 +73,8 @@ def clusters(
     ids of different components that are left in one bucket are then compared with each
     other, and only likely pairs leave that join. No candidate is dropped.
     """
-    shared = buckets.groupBy("key").count().filter("count > 1").select("key")
+    # Written first: the join is then between two plain shuffles, of which a hot key's part can be split.
+    shared = session.staged(buckets.groupBy("key").count().filter("count > 1").select("key"), "shared-keys")
     rows = session.staged(buckets.select("key", "id").join(shared, "key"), "shared-buckets")
     sets = session.staged(sets_of(rows.select("id").distinct()), "sets")
     centres = rows.groupBy("key").agg(F.min("id").alias("a"))
