@@ -5,6 +5,7 @@ from __future__ import annotations
 import pathlib
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
 
@@ -13,12 +14,13 @@ from pyspark.sql import functions as F
 
 from oracles import ORACLES
 from tillroll import schemas, session
-from tillroll.functions import dates, shares
+from tillroll.functions import money, shares
 from tillroll.operators import clean, flatten, quality, reports
 from tillroll.plans import publish, sql_reports, star_reports
-from tillroll.plans.inputs import DROP, DROP_ONLY, FILL, from_defects, star_order_details
+from tillroll.plans.inputs import DROP, DROP_ONLY, FILL, Variant, from_defects, star_order_details
+from tillroll.plans.report_sets import report_set
 from tillroll.sinks import catalog, csv
-from tillroll.sources import defects, files, star
+from tillroll.sources import defects, files, star, tables
 
 try:
     import corpus_pipeline
@@ -103,6 +105,15 @@ def queries() -> dict[str, Query]:
         "csv_roundtrip": _csv_roundtrip,
         "table_roundtrip": lambda spark, d: _written_table(spark, d, ("overwrite", "overwrite")),
         "table_append": lambda spark, d: _written_table(spark, d, ("append", "append")),
+        "table_row_counts_unfilled": lambda spark, d: _table_row_counts(spark, d, DROP_ONLY, "pandas"),
+        "publish_append": lambda spark, d: _published(spark, d, mode="append"),
+        "publish_recreate": lambda spark, d: _published(spark, d, recreate=True),
+        "csv_one_file": _csv_one_file,
+        "csv_counts": _csv_counts,
+        "sql_view": _view_report,
+        "revenue_fine_amounts": _fine_revenue,
+        "report_set_recent": lambda spark, d: _report_set(spark, d, "recent"),
+        "report_set_complete": lambda spark, d: _report_set(spark, d, "complete"),
         **_llm_queries(),
     }
 
@@ -124,15 +135,16 @@ def _popular_categories(spark: SparkSession, folder: str, **options) -> DataFram
 
 
 def _recent_revenue(spark: SparkSession, folder: str, **window) -> DataFrame:
-    newest = dates.newest(star.headers(spark, folder))
-    recent = star.order_sums(spark, folder, since=dates.window_start(newest, **window))
-    return reports.monthly_revenue(recent, descending=True, as_of=newest, **window)
+    recent = star.order_sums(spark, folder, since=star.window_start(spark, folder, **window))
+    return reports.monthly_revenue(recent, descending=True)
 
 
 def _sql_report(spark: SparkSession, folder: str, name: str, **options) -> DataFrame:
+    inputs = from_defects(spark, folder, DROP)
+    if name in ("top_customers", "popular_categories"):
+        return sql_reports.report(spark, name, inputs.sums(name), summed=True, **options)
     # The keys of the star tables are unique, so dimensions a report does not read stay out.
-    details = from_defects(spark, folder, DROP).order_details(sql_reports.COLUMNS[name], unique_keys=True)
-    return sql_reports.report(spark, name, details, **options)
+    return sql_reports.report(spark, name, inputs.order_details(sql_reports.COLUMNS[name], unique_keys=True), **options)
 
 
 def _audit(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,14 +156,62 @@ def _audit(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _new_database(spark: SparkSession) -> tuple[str, str]:
-    """Name and folder of a database no other run uses."""
-    folder = session.new_folder(spark, "db")
-    return "tillroll_" + folder.rsplit("-", 1)[1], folder
+# The results of the queries below are read after they return, so what they write stays for session.cleanup().
+def _table_row_counts(spark: SparkSession, folder: str, variant: Variant = FILL, style: str = "tables") -> DataFrame:
+    details = from_defects(spark, folder, variant).order_details()
+    return publish.to_tables(details, *session.new_database(spark), style=style)
 
 
-def _table_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return publish.to_tables(from_defects(spark, folder, FILL).order_details(), *_new_database(spark))
+def _published(spark: SparkSession, folder: str, **second: object) -> DataFrame:
+    """The report tables after a load of the orders with an even id and one of the others."""
+    database, location = session.new_database(spark)
+    details = from_defects(spark, folder, FILL).order_details()
+    publish.to_tables(details.filter("order_id % 2 = 0"), database, location)
+    publish.to_tables(details.filter("order_id % 2 <> 0"), database, location, **second)
+    keys = {
+        "top_customers": ("concat_ws('/', customer_name, country)", "total_spend"),
+        "monthly_revenue": ("concat_ws('/', year, month)", "monthly_revenue"),
+        "popular_categories": ("category", "order_count"),
+        "order_status": ("status", "order_count"),
+    }
+    parts = [
+        spark.table(f"{database}.{name}").selectExpr(f"'{name}' AS report", f"{key} AS name", f"CAST({value} AS DOUBLE) AS value")
+        for name, (key, value) in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _fine_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    """Unrounded sums of amounts below a millionth."""
+    fine = star.orders(spark, folder, ("line_number", "status")).selectExpr("status", "line_number / 1e7D AS amount")
+    return fine.groupBy("status").agg(*money.parts()).select("status", money.value(None).alias("revenue"))
+
+
+def _view_report(spark: SparkSession, folder: str) -> DataFrame:
+    tables.register(from_defects(spark, folder, DROP).order_details(), "shop_details")
+    return tables.run_sql(spark, sql_reports.statement("popular_categories", "shop_details", k=None))
+
+
+def _csv_one_file(spark: SparkSession, folder: str) -> DataFrame:
+    path = session.new_folder(spark, "csv")
+    csv.write_one_csv(from_defects(spark, folder, FILL).top_customers(k=None), path)
+    return files.read_csv(spark, path, schemas.TOP_CUSTOMERS)
+
+
+def _csv_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = session.new_folder(spark, "csv")
+    paths = publish.to_csv(from_defects(spark, folder, FILL).order_details(), path, "sql", skip_empty=True)
+    return files.csv_report(spark, paths)
+
+
+def _report_set(spark: SparkSession, folder: str, style: str) -> DataFrame:
+    """Two reports of a set, one below the other."""
+    found = report_set(from_defects(spark, folder, DROP).order_details(), style, as_of="2001-08-01")
+    parts = [
+        found["popular_categories"].selectExpr("category AS name", "CAST(order_count AS DOUBLE) AS value"),
+        found["monthly_revenue"].selectExpr("month AS name", "monthly_revenue AS value"),
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,7 +223,7 @@ def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def _written_table(spark: SparkSession, folder: str, modes: tuple[str, ...]) -> DataFrame:
     details = session.staged(from_defects(spark, folder, FILL).order_details(), "order-details")
-    database, location = _new_database(spark)
+    database, location = session.new_database(spark)
     table = f"{database}.order_details"
     catalog.ensure_database(spark, database, location)
     catalog.create_table(spark, table, schemas.table_types("order_details"))

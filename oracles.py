@@ -37,9 +37,9 @@ products_dirty AS (
     FROM products),
 orders_dirty AS (
     SELECT order_id,
-           CASE WHEN (order_id + line_number) % 97 = 0 THEN NULL WHEN order_id % 89 = 0 THEN 99999999
+           CASE WHEN (order_id + line_number) % 97 = 0 THEN NULL WHEN order_id % 89 = 0 THEN -1000 - order_id
                 ELSE customer_id END AS customer_id,
-           CASE WHEN (order_id + line_number) % 101 = 0 THEN NULL WHEN product_id % 103 = 0 THEN 99999999
+           CASE WHEN (order_id + line_number) % 101 = 0 THEN NULL WHEN product_id % 103 = 0 THEN -1000 - order_id
                 ELSE product_id END AS product_id,
            CASE WHEN order_id % 71 = 0 THEN NULL WHEN order_id % 67 = 0 THEN '2024-13-99'
                 ELSE CAST(order_date AS VARCHAR) END AS order_date,
@@ -221,6 +221,41 @@ UNION ALL SELECT 'monthly_revenue', count(*) FROM ({_monthly_ym()})
 UNION ALL SELECT 'popular_categories', count(*) FROM ({_categories()})
 UNION ALL SELECT 'order_status', count(*) FROM ({_STATUS})"""
 
+
+
+def _published(last: str) -> str:
+    """Reports of both loads, or of the last one only where the tables were dropped before it."""
+    loads = []
+    for odd in (0, 1) if last == "append" else (1,):
+        half = f" AND order_id % 2 = {odd}"
+        loads += [
+            f"SELECT 'top_customers' AS report, customer_name || '/' || country AS name, total_spend AS value FROM ({_top_customers(extra=half)})",
+            f"SELECT 'monthly_revenue', coalesce(concat_ws('/', year, month), ''), round(monthly_revenue, 2) FROM ({_monthly_ym(half)})",
+            f"SELECT 'popular_categories', category, CAST(order_count AS DOUBLE) FROM ({_categories(half)})",
+            f"SELECT 'order_status', status, CAST(count(*) AS DOUBLE) FROM details WHERE order_id % 2 = {odd} GROUP BY status",
+        ]
+    return _FILL_DETAILS + "\nUNION ALL ".join(loads)
+
+
+def _report_set(window: str, limit: str) -> str:
+    return f"""{_DROP_DETAILS}SELECT category AS name, CAST(order_count AS DOUBLE) AS value FROM ({_categories(limit=limit)})
+UNION ALL SELECT month, monthly_revenue FROM ({_monthly(f" AND order_date >= DATE '2001-08-01' - INTERVAL {window}")})"""
+
+
+_COUNTS_SQL_STYLE = f"""{_FILL_DETAILS}
+SELECT 'order_details' AS name, true AS present, count(*) AS row_count FROM details
+UNION ALL SELECT 'top_customers', true, count(*) FROM ({_top_customers()})
+UNION ALL SELECT 'monthly_revenue', true, count(*) FROM ({_monthly()})
+UNION ALL SELECT 'popular_categories', true, count(*) FROM ({_categories(limit=" LIMIT 5")})
+UNION ALL SELECT 'order_status', true, count(*) FROM ({_STATUS})"""
+
+_ROW_COUNTS_UNFILLED = f"""{_DROP_ONLY_DETAILS}
+SELECT 'order_details' AS table_name, count(*) AS row_count FROM details
+UNION ALL SELECT 'top_customers', count(*) FROM ({_top_customers(extra=" AND customer_name IS NOT NULL AND country IS NOT NULL")})
+UNION ALL SELECT 'monthly_revenue', count(*) FROM ({_monthly_ym(" AND order_date IS NOT NULL")})
+UNION ALL SELECT 'popular_categories', count(*) FROM ({_categories(" AND category IS NOT NULL")})
+UNION ALL SELECT 'order_status', count(*) FROM ({_STATUS})"""
+
 _SELECT_DETAILS = f"SELECT {_ALL_COLUMNS} FROM details"
 
 ORACLES = {
@@ -270,6 +305,17 @@ GROUP BY customer_id, customer_name, country""",
     "order_status_half_even": _DROP_ONLY_DETAILS + _STATUS_HALF_EVEN,
     "dq_audit": _AUDIT,
     "table_row_counts": _ROW_COUNTS,
+    "table_row_counts_unfilled": _ROW_COUNTS_UNFILLED,
+    "publish_append": _published("append"),
+    "publish_recreate": _published("recreate"),
+    "csv_one_file": _FILL_DETAILS + _top_customers(limit=""),
+    "csv_counts": _COUNTS_SQL_STYLE,
+    "sql_view": _DROP_DETAILS + _categories(),
+    "revenue_fine_amounts": f"""WITH {_STAR}
+SELECT status, CAST(sum(CAST(line_number AS DECIMAL(18,0)) * CAST(0.0000001 AS DECIMAL(18,7))) AS DOUBLE) AS revenue
+FROM sales GROUP BY status""",
+    "report_set_recent": _report_set("180 DAY", " LIMIT 5"),
+    "report_set_complete": _report_set("6 MONTH", ""),
     "csv_roundtrip": _FILL_DETAILS + _SELECT_DETAILS,
     "table_roundtrip": _FILL_DETAILS + _SELECT_DETAILS,
     "table_append": f"{_FILL_DETAILS}SELECT {_ALL_COLUMNS} FROM details UNION ALL SELECT {_ALL_COLUMNS} FROM details",

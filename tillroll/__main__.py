@@ -33,6 +33,10 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     parser.add_argument("--style", choices=STYLES, default="dataframe", help="which form of the reports goes to CSV")
     parser.add_argument("--as-of", help="end of the window of the styles recent and complete, yyyy-mm-dd")
     parser.add_argument("--append", action="store_true", help="add to the tables instead of replacing their rows")
+    parser.add_argument("--recreate", action="store_true", help="drop the tables first")
+    parser.add_argument("--narrow", action="store_true", help="declare INT and DECIMAL(10,2) instead of wider types")
+    parser.add_argument("--table-style", choices=publish.TABLE_STYLES, default="tables", help="form of the report tables")
+    parser.add_argument("--one-file", action="store_true", help="write each report to CSV as one file")
     options = parser.parse_args(arguments)
     if not (options.csv or options.database):
         parser.error("give --csv, --database or both")
@@ -43,11 +47,19 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
     customers, products, orders = files.read_inputs(spark, options.input)
     details = Inputs(orders, customers, products, VARIANTS[options.variant]).order_details()
     if options.csv:
-        paths = publish.to_csv(details, options.csv, options.style, options.as_of)
+        paths = publish.to_csv(details, options.csv, options.style, options.as_of, one_file=options.one_file)
         files.csv_report(spark, paths).show(truncate=False)
     if options.database:
         mode = "append" if options.append else "overwrite"
-        publish.to_tables(details, options.database, mode=mode).show(truncate=False)
+        counts = publish.to_tables(
+            details,
+            options.database,
+            mode=mode,
+            wide=not options.narrow,
+            recreate=options.recreate,
+            style=options.table_style,
+        )
+        counts.show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -29,6 +29,16 @@ def newest(df: DataFrame, date: str = "order_date") -> Column:
     return df.agg(F.max(date)).scalar()
 
 
+def trailing_start(df: DataFrame, date: str = "order_date", days: int = 180, months: int | None = None) -> Column:
+    """First day of the window that ends at the newest date in ``df``, as a scalar subquery.
+
+    All arithmetic is inside the subquery: a bare scalar, of the type of the column, is
+    what a filter on that column can hand to the Parquet scan.
+    """
+    start = window_start(F.max(F.col(date).cast("date")), days, months)
+    return df.agg(start.cast(df.schema[date].dataType)).scalar()
+
+
 def window_start(as_of: str | datetime.date | Column, days: int = 180, months: int | None = None) -> Column:
     """First day of the trailing window that ends at ``as_of``; that day is included."""
     end = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")

@@ -23,6 +23,8 @@ from tillroll.operators import clean
 COLUMNS = ("order_id", "customer_name", "country", "product_name", "category", "amount", "status", "order_date")
 CUSTOMER_COLUMNS = ("customer_name", "country")
 PRODUCT_COLUMNS = ("product_name", "category")
+#: Tasks that merge sketches before the last one does.
+MERGES = 64
 
 
 def with_customers(
@@ -80,7 +82,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_share: float) -> dict[str,
     """Per column, the values with more than ``hot_share`` of the rows and their number of slices.
 
     Runs one pass over the key columns with a frequent-items sketch per task, so
-    nothing is shuffled but the sketches. A column has fewer than ``1 / hot_share``
+    nothing is shuffled but the sketches; ``MERGES`` tasks merge them before one merges
+    those, so no task's share grows with the number of partitions alone. A column has fewer than ``1 / hot_share``
     such values whatever the size of ``df``; a column without any is left out.
     The counts are estimates, but they only decide which rows are spread.
     """
@@ -88,8 +91,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_share: float) -> dict[str,
         raise ValueError("hot_share must be at least 1e-5 and less than 1")
     limit = math.ceil(1 / hot_share)
     tracked = 8 * limit  # keeps the error of a count below half of hot_share
-    found = df.agg(
-        F.count("*").alias("_rows"), *[F.expr(f"approx_top_k(`{key}`, {limit}, {tracked})").alias(key) for key in keys]
+    sketched = df.groupBy((F.spark_partition_id() % MERGES).alias("_part")).agg(
+        F.count("*").alias("_rows"),
+        *[F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias(key) for key in keys],
+    )
+    found = sketched.agg(
+        F.sum("_rows").alias("_rows"),
+        *[F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{key}`, {tracked}), {limit})").alias(key) for key in keys],
     ).first()
     slice_rows = found["_rows"] * hot_share
     hot = {

@@ -37,9 +37,9 @@ def top_customers(
     """
     keys = ("customer_id", "customer_name", "country") if by_id else ("customer_name", "country")
     df = _without_null_keys(completed(details), keys, drop_unmatched)
+    if by_id:  # before grouping: rows cleaned earlier hold the default already
+        df = df.fillna({"customer_id": schemas.ORDER_DEFAULTS["customer_id"]})
     spend = df.groupBy(*keys).agg(*sums.amounts(df)).select(*keys, money.value(digits).alias("total_spend"))
-    if by_id:
-        spend = spend.fillna({"customer_id": schemas.ORDER_DEFAULTS["customer_id"]})
     return _limited(spend.orderBy(F.col("total_spend").desc(), *keys), k)
 
 
@@ -52,15 +52,19 @@ def monthly_revenue(
     months: int | None = None,
     drop_unmatched: bool = False,
     digits: int | None = 2,
+    since: str | datetime.date | Column | None = None,
 ) -> DataFrame:
     """Completed revenue per month, as ``yyyy-MM`` or as a year and a month number.
 
-    With ``as_of`` (a date, or a scalar column such as ``dates.newest(df)``) only
-    the ``days`` or ``months`` up to that date count. There is no wall clock.
+    With ``as_of`` (a date or a scalar column) only the ``days`` or ``months`` up to that
+    date count; ``since`` gives the first day itself, for instance
+    ``dates.trailing_start(df)``, which the scan can use. There is no wall clock.
     """
     df = completed(details)
     if as_of is not None:
         df = df.filter(F.col("order_date") >= dates.window_start(as_of, days, months))
+    if since is not None:
+        df = df.filter(F.col("order_date") >= since)
     df = _without_null_keys(df, ("order_date",), drop_unmatched)
     revenue = df.groupBy(dates.month_start("order_date").alias("_month")).agg(*sums.amounts(df))
     if year_and_month:

@@ -1,8 +1,9 @@
 """Load ``order_details`` and the four reports into tables or CSV folders.
 
-``order_details`` is written first and the reports are computed from what was
-written, so the cleaning and the joins run once, and a lost executor never sets
-the run back behind that table. Each result is replaced or appended by itself:
+``order_details`` is staged first and everything is computed from what was staged,
+so the cleaning and the joins run once, and a lost executor never sets the run
+back behind it. Reports cover the rows of this load: with ``append`` they come
+beside those of earlier loads. Each result is replaced or appended by itself:
 plain Spark has no transaction across tables.
 """
 
@@ -20,8 +21,19 @@ from tillroll.plans.report_sets import report_set
 from tillroll.sinks import catalog, csv
 
 
-def table_reports(details: DataFrame) -> dict[str, DataFrame]:
-    """The reports in the shape of the output tables: year and month, percent to even."""
+TABLE_STYLES = ("tables", "pandas")
+
+
+def table_reports(details: DataFrame, style: str = "tables") -> dict[str, DataFrame]:
+    """The reports in the shape of the output tables: year and month, percent to even.
+
+    ``tables`` keeps groups with a null key and rounds money half-up; ``pandas`` leaves
+    such groups out and sums money unrounded.
+    """
+    if style not in TABLE_STYLES:
+        raise ValueError(f"style must be one of {TABLE_STYLES}, not {style!r}")
+    if style == "pandas":
+        return report_set(details, "pandas")
     return {
         "top_customers": reports.top_customers(details),
         "monthly_revenue": reports.monthly_revenue(details, year_and_month=True),
@@ -37,15 +49,18 @@ def to_tables(
     mode: str = "overwrite",
     wide: bool = True,
     recreate: bool = False,
+    style: str = "tables",
 ) -> DataFrame:
-    """Write all five tables and return their row counts."""
+    """Write all five tables and return their row counts.
+
+    ``recreate`` drops the tables first; ``style`` as in ``table_reports``.
+    """
     spark = details.sparkSession
     catalog.ensure_database(spark, database, location)
     catalog.create_tables(spark, database, wide=wide, recreate=recreate)
-    catalog.write_table(details, f"{database}.order_details", mode)
-    written = spark.table(f"{database}.order_details")
-    for name, df in table_reports(written).items():
-        catalog.write_table(df, f"{database}.{name}", mode)
+    with session.temporary(details, "order-details") as staged:
+        for name, df in {"order_details": staged, **table_reports(staged, style)}.items():
+            catalog.write_table(df, f"{database}.{name}", mode)
     return quality.table_row_counts(spark, database)
 
 
@@ -55,14 +70,20 @@ def to_csv(
     style: str = "dataframe",
     as_of: str | datetime.date | Column | None = None,
     skip_empty: bool = False,
+    one_file: bool = False,
 ) -> dict[str, str]:
     """Write all five results as CSV folders and return their paths.
 
     The details are staged as Parquet in the shared folder: the reports then read
-    only their columns of it, which CSV would not allow.
+    only their columns of it, which CSV would not allow. ``one_file`` writes each
+    report, not the details, as one file in the report's order.
     """
-    staged = session.staged(details, "order-details")
     paths = {name: posixpath.join(folder, name) for name in schemas.OUTPUT_TABLES}
-    for name, df in {"order_details": staged, **report_set(staged, style, as_of)}.items():
-        csv.write_csv(df, paths[name], skip_empty=skip_empty)
+    with session.temporary(details, "order-details") as staged:
+        csv.write_csv(staged, paths["order_details"], skip_empty=skip_empty)
+        for name, df in report_set(staged, style, as_of).items():
+            if one_file:
+                csv.write_one_csv(df, paths[name])
+            else:
+                csv.write_csv(df, paths[name], skip_empty=skip_empty)
     return paths

@@ -20,14 +20,22 @@ from tillroll.operators import clean, flatten, reports, sums
 
 def top_customers(orders: DataFrame, customers: DataFrame, filled: bool = True, **options) -> DataFrame:
     """``reports.top_customers`` with its options."""
-    spend = flatten.with_customers(_completed_sums(orders, "customer_id"), customers)
-    return reports.top_customers(_filled(spend, filled), **options)
+    return reports.top_customers(customer_sums(orders, customers, filled), **options)
 
 
 def popular_categories(orders: DataFrame, products: DataFrame, filled: bool = True, **options) -> DataFrame:
     """``reports.popular_categories`` with its options."""
-    counts = flatten.with_products(_completed_sums(orders, "product_id"), products, ("category",))
-    return reports.popular_categories(_filled(counts, filled), **options)
+    return reports.popular_categories(category_sums(orders, products, filled), **options)
+
+
+def customer_sums(orders: DataFrame, customers: DataFrame, filled: bool = True) -> DataFrame:
+    """Completed orders summed per customer id, with name and country; for reports and SQL text."""
+    return _filled(flatten.with_customers(_completed_sums(orders, "customer_id"), customers), filled)
+
+
+def category_sums(orders: DataFrame, products: DataFrame, filled: bool = True) -> DataFrame:
+    """Completed orders summed per product id, with the category."""
+    return _filled(flatten.with_products(_completed_sums(orders, "product_id"), products, ("category",)), filled)
 
 
 def _completed_sums(orders: DataFrame, key: str) -> DataFrame:

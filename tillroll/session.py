@@ -5,6 +5,8 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,7 @@ SETTINGS = {
 }
 
 _local_dir: tempfile.TemporaryDirectory | None = None
+_databases: dict[str, list[str]] = {}
 
 
 def build_session(app_name: str = "tillroll", master: str | None = None, conf: dict | None = None) -> SparkSession:
@@ -48,17 +51,56 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared root that no other run uses. It is not created."""
-    app = spark.sparkContext.applicationId
-    return posixpath.join(shared_root(spark), "tillroll", app, f"{label}-{uuid.uuid4().hex[:12]}")
+    return posixpath.join(_own_root(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def _own_root(spark: SparkSession) -> str:
+    return posixpath.join(shared_root(spark), "tillroll", spark.sparkContext.applicationId)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared root and read it back.
 
     What builds on it neither computes ``df`` again nor depends on the executors
-    that did.
+    that did. The data stays until ``cleanup``: results that are read later build on it.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` staged for the length of a block, and removed after it, also after an error."""
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system holds it; a missing one is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Drop the databases made with ``new_database`` and delete all this application has staged.
+
+    Call it when no result that was returned is read any more.
+    """
+    for database in _databases.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+    remove(spark, _own_root(spark))
+
+
+def new_database(spark: SparkSession) -> tuple[str, str]:
+    """Name and folder of a database no other run uses; ``cleanup`` drops it."""
+    folder = new_folder(spark, "db")
+    name = "tillroll_" + folder.rsplit("-", 1)[1]
+    _databases.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name, folder

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tillroll import session
+
 
 def jdbc_options(
     url: str,
@@ -35,6 +37,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", **k
     """Append to or overwrite a database table.
 
     A task that is run again sends its rows again, so an append that must hold
-    each row once should go through a staging table.
+    each row once should go through a staging table. The rows are staged first: a
+    limit on connections then narrows only the copy, not the stage that computes it.
     """
-    df.write.format("jdbc").mode(mode).options(**jdbc_options(url, table, **kwargs)).save()
+    with session.temporary(df, "jdbc") as staged:
+        staged.write.format("jdbc").mode(mode).options(**jdbc_options(url, table, **kwargs)).save()

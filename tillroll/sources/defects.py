@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tillroll.sources import star
 
-MISSING_KEY = 99999999  # matches no customer and no product
+# Keys of the tables are not negative, and -1 stands for a missing key after cleaning.
+_ORPHAN = -1000
 
 
 def _every(key: Column | str, n: int) -> Column:
@@ -21,9 +22,9 @@ def _every(key: Column | str, n: int) -> Column:
 def _planted(column: str, *rules: tuple[Column, object]) -> Column:
     """The column, replaced by the value of the first rule that holds."""
     (first, value), *rest = rules
-    planted = F.when(first, F.lit(value))
+    planted = F.when(first, value if isinstance(value, Column) else F.lit(value))
     for condition, other in rest:
-        planted = planted.when(condition, F.lit(other))
+        planted = planted.when(condition, other if isinstance(other, Column) else F.lit(other))
     return planted.otherwise(F.col(column)).alias(column)
 
 
@@ -49,10 +50,11 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 def orders(spark: SparkSession, folder: str, columns: tuple[str, ...] = star.ORDER_COLUMNS) -> DataFrame:
     line = F.col("order_id") + F.col("line_number")
+    orphan = _ORPHAN - F.col("order_id")  # another key for each order, so that none of them is a hot key
     planted = {
         "order_id": F.col("order_id"),
-        "customer_id": _planted("customer_id", (_every(line, 97), None), (_every("order_id", 89), MISSING_KEY)),
-        "product_id": _planted("product_id", (_every(line, 101), None), (_every("product_id", 103), MISSING_KEY)),
+        "customer_id": _planted("customer_id", (_every(line, 97), None), (_every("order_id", 89), orphan)),
+        "product_id": _planted("product_id", (_every(line, 101), None), (_every("product_id", 103), orphan)),
         "order_date": _planted("order_date", (_every("order_id", 71), None), (_every("order_id", 67), "2024-13-99")),
         "amount": _planted("amount", (_every("product_id", 83), None)),
         "status": _planted("status", (_every("order_id", 79), None), (_every("order_id", 73), "bogus")),

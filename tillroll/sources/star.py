@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions import money
+from tillroll.functions import dates, money
 from tillroll.operators import sums
 from tillroll.sources import files
 
@@ -32,13 +32,15 @@ _EXPRESSIONS = {
     " if(o_orderstatus <=> 'O', 'pending', if(o_orderstatus <=> 'P', 'cancelled', 'unknown')))",
 }
 
-_schemas: dict[tuple[str, str], T.StructType] = {}
+_schemas: dict[tuple[str, str, int], T.StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A star table. Its schema is read from the file once per application, not per query."""
+    """A star table. Its schema is read once per application, again when the file or folder has changed."""
     path = posixpath.join(folder, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    changed = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).getModificationTime()
+    key = (spark.sparkContext.applicationId, path, changed)
     df = files.read_parquet(spark, path, _schemas.get(key))
     _schemas.setdefault(key, df.schema)
     return df
@@ -82,20 +84,32 @@ def orders(spark: SparkSession, folder: str, columns: tuple[str, ...] = ORDER_CO
     return df.selectExpr(*_select(*columns))
 
 
+def window_start(spark: SparkSession, folder: str, days: int = 180, months: int | None = None) -> Column:
+    """Start of the trailing window that ends at the newest order, for ``since`` of ``order_sums``.
+
+    The tables hold zone-less timestamps, which Spark does not hand to the Parquet scan;
+    data at rest that is to be read by date should be clustered by a DATE column.
+    """
+    return dates.trailing_start(table(spark, folder, "orders"), "o_orderdate", days, months)
+
+
 def order_sums(spark: SparkSession, folder: str, since: Column | None = None) -> DataFrame:
     """Lines summed per order, with customer_id, order_date and status.
 
     Summing comes first, on the join's own key: no shuffle is added, each order
     is one row in it, and an order with very many lines is no hot key.
-    ``since`` keeps orders from a date on, as a filter on the raw column that the
-    scan can use to skip row groups.
+    ``since`` keeps orders from a date on. Headers are few then, so the lines are not
+    summed first: the join comes with a runtime filter on them, or a broadcast.
     """
-    summed = sums.presum(table(spark, folder, "lineitem"), "l_orderkey", amount="l_extendedprice")
-    raw = table(spark, folder, "orders")
+    lines, raw = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    same = F.col("l_orderkey") == F.col("o_orderkey")
     if since is not None:
-        raw = raw.filter(F.col("o_orderdate") >= since.cast("timestamp_ntz"))
-    joined = summed.join(raw, F.col("l_orderkey") == F.col("o_orderkey"), "left" if since is None else "inner")
-    return joined.selectExpr(*_select("order_id", *_HEADER), money.UNITS, money.MICROS, sums.ROWS)
+        header = ("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+        recent = lines.join(raw.filter(F.col("o_orderdate") >= since), same)
+        joined = sums.presum(recent, *header, amount="l_extendedprice").withColumnRenamed("o_orderkey", "l_orderkey")
+    else:
+        joined = sums.presum(lines, "l_orderkey", amount="l_extendedprice").join(raw, same, "left")
+    return joined.selectExpr(*_select("order_id", *_HEADER), *money.COLUMNS, sums.ROWS)
 
 
 def _select(*names: str) -> list[str]:
