@@ -40,10 +40,13 @@ def sets(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np
     for place in range(SIZE):
         full[: max(0, n - place)] = full[: max(0, n - place)] * ODD + hashes[place:]
     # Past the end of a sequence these mix in words of the next one; only whole shingles are used.
+    full = mixed(full)
+    if len(starts) and counts.min() >= SIZE and n < 64 * len(starts):
+        return _short_sets(full, starts, counts - SIZE + 1)
     out, sizes = [], np.zeros(len(starts), np.int64)
     for i, (start, count) in enumerate(zip(starts.tolist(), counts.tolist(), strict=True)):
         if count >= SIZE:
-            found = np.unique(mixed(full[start : start + count - SIZE + 1]))
+            found = np.unique(full[start : start + count - SIZE + 1])
         elif count:
             value = np.uint64(count)
             for word in hashes[start : start + count]:
@@ -56,6 +59,16 @@ def sets(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), sizes
 
 
+def _short_sets(full: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for many short sequences, all sorted at once."""
+    owner = np.repeat(np.arange(len(starts)), counts)
+    grams = full[np.arange(len(owner)) + np.repeat(starts - (np.cumsum(counts) - counts), counts)]
+    order = np.lexsort((grams, owner))
+    grams = grams[order]
+    new = np.concatenate(([True], (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])))
+    return grams[new], np.bincount(owner[new], minlength=len(starts))
+
+
 def batches(texts: list[str | None]):
     """Word sequences of consecutive texts: first text, hashes, starts, counts."""
     words, counts, first = [], [], 0
