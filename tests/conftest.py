@@ -10,6 +10,10 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent.parent))
 from tillroll import schemas, session  # noqa: E402
 
 
+def pytest_addoption(parser):
+    parser.addoption("--golden", help="folder with published inputs and results as CSV")
+
+
 @pytest.fixture(scope="session")
 def spark():
     spark = session.build_session(

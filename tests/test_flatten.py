@@ -139,6 +139,12 @@ def test_salted_join_spreads_a_hot_key(spark, conf):
     assert sizes.max() < 6000 / 6  # one third would be 2,000
 
 
+def test_sketches_are_merged_in_steps(spark):
+    """What the last task merges does not grow with the number of partitions."""
+    many = skewed(spark, 3000).repartition(200)
+    assert sorted(rows(flatten.hot_keys(many, ["customer_id"], 0.05)["customer_id"]), key=str) == [(1, 7), (None, 7)]
+
+
 def test_hot_share_must_be_a_share(spark):
     with pytest.raises(ValueError):
         flatten.hot_keys(skewed(spark, 10), ["customer_id"], 2)

@@ -46,6 +46,20 @@ def test_money_merges_parts_to_the_same_sum(spark):
     assert merged.first()[0] == total(df) == 4995.0
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(-(10**9), 10**9), st.integers(0, 18)), min_size=1, max_size=40))
+def test_money_keeps_up_to_18_decimals(spark, amounts):
+    exact = [Decimal(value).scaleb(-scale) for value, scale in amounts]
+    df = spark.createDataFrame([(float(x),) for x in exact], "amount DOUBLE").repartition(2)
+    assert total(df, None) == float(sum(exact))
+
+
+def test_money_of_amounts_below_a_millionth(spark):
+    df = spark.createDataFrame([(0.0000004,)] * 1000 + [(-1e-18,)], "amount DOUBLE")
+    assert total(df, None) == float(Decimal('0.0004') - Decimal('1e-18')) and total(df, 4) == 0.0004
+    assert total(spark.createDataFrame([(-0.25,), (-1e-9,)], "amount DOUBLE"), None) == -0.250000001
+
+
 def test_money_skips_missing_and_rejects_infinite_amounts(spark):
     df = spark.createDataFrame([(1.5,), (None,), (float("nan"),)], "amount DOUBLE")
     assert total(df) == 1.5

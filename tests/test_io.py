@@ -5,6 +5,7 @@ import datetime
 import pytest
 from helpers import rows
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tillroll import __main__ as job
 from tillroll import schemas, session
@@ -77,9 +78,41 @@ def test_one_csv_file(spark, tmp_path):
     csv.write_one_csv(df, str(tmp_path / "one"), order_by=("id",))
     (part,) = (tmp_path / "one").glob("*.csv")
     assert part.read_text().split() == ["id", *map(str, range(1000))]
-    with pytest.raises(ValueError, match="too many"):
-        csv.write_one_csv(df, str(tmp_path / "other"), max_rows=999)
-    assert not (tmp_path / "other").exists()
+    csv.write_one_csv(df.orderBy(F.col("id").desc()), str(tmp_path / "other"))
+    (part,) = (tmp_path / "other").glob("*.csv")
+    assert part.read_text().split() == ["id", *map(str, reversed(range(1000)))]
+
+
+def test_temporary_data_is_removed(spark, make, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_root", lambda _: str(tmp_path / "shared"))
+    details = make("details", DETAILS)
+    publish.to_csv(details, str(tmp_path / "out"), one_file=True, skip_empty=True)
+    csv.write_csv(details, str(tmp_path / "more"), skip_empty=True)
+    with pytest.raises(PySparkException):
+        csv.write_one_csv(details.withColumn("bad", F.expr("raise_error('no')")), str(tmp_path / "bad"))
+    with pytest.raises(Exception, match="[Dd]river|jdbc"):
+        jdbc.write_jdbc(details, "jdbc:nothing:here", "t")
+    assert not [p for p in (tmp_path / "shared").rglob("*") if p.is_file()]
+    assert len(list((tmp_path / "out" / "top_customers").glob("*.csv"))) == 1
+
+
+def test_appended_reports_cover_their_own_load(spark, make, database):
+    """10.00 and then 5.00 in one month are two rows that add up to 15.00."""
+    january = datetime.date(2024, 1, 5)
+    for order, amount in ((1, 10.0), (2, 5.0)):
+        load = make("details", [(order, "Ann", "UK", "Pen", "Office", amount, "completed", january)])
+        publish.to_tables(load, database, mode="append")
+    revenue = spark.table(f"{database}.monthly_revenue").select("year", "month", F.col("monthly_revenue").cast("double"))
+    assert sorted(rows(revenue)) == [(2024, 1, 5.0), (2024, 1, 10.0)]
+    assert rows(spark.table(f"{database}.popular_categories")) == [("Office", 1)] * 2
+
+
+def test_pandas_style_tables(spark, make, database):
+    details = make("details", DETAILS)
+    counts = dict(rows(publish.to_tables(details, database, style="pandas")))
+    assert counts == {"order_details": 3, "top_customers": 2, "monthly_revenue": 1, "popular_categories": 2, "order_status": 2}
+    with pytest.raises(ValueError, match="style"):
+        publish.to_tables(details, database, style="other")
 
 
 def test_csv_report(spark, make, tmp_path):

@@ -52,6 +52,9 @@ def test_top_customers_by_id(make):
     assert got[-1] == (2, "Ann", "UK", 0.2)
     assert (-1, None, None, 7.01) in got
     assert len(got) == 5
+    # An id that is missing and one that was filled earlier are one customer.
+    both = df.unionByName(df.filter("order_id = 6").withColumn("customer_id", F.lit(-1)))
+    assert (-1, None, None, 14.01) in rows(reports.top_customers(both, k=None, by_id=True))
 
 
 def test_monthly_revenue(details):

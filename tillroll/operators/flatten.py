@@ -95,7 +95,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_share: float) -> dict[str,
         F.count("*").alias("_rows"),
         *[F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias(key) for key in keys],
     )
-    found = sketched.agg(
+    # A constant key, as a sum over everything fails in tasks without sketches.
+    found = sketched.groupBy(F.lit("all")).agg(
         F.sum("_rows").alias("_rows"),
         *[F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{key}`, {tracked}), {limit})").alias(key) for key in keys],
     ).first()
