@@ -346,10 +346,9 @@ def _encoder(data: bytes) -> Encoder:
 
 
 def read_model(spark: SparkSession, path: str = MODEL) -> bytes:
-    """The model file, read through Spark, so the path may be in any store. It is well below a megabyte."""
+    """The model file, which is well below a megabyte: a path of the driver, or a URL that Spark can read."""
     if "://" not in path:
-        path = "file://" + path
-        with open(path.removeprefix("file://"), "rb") as file:
+        with open(path, "rb") as file:
             return file.read()
     return bytes(spark.read.format("binaryFile").load(path).select("content").first()["content"])
 
