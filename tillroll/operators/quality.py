@@ -64,11 +64,8 @@ def audit(
         },
     )
     by_product = _per_key(product_ids, "product_id", {})
-    return (
-        _totals(_with_duplicates(customer_keys, "customer_id"), "customers")
-        .unionByName(_totals(_with_duplicates(product_keys, "product_id"), "products"))
-        .unionByName(_totals(_with_orphans(by_customer, customer_keys, "customer_id", "customer orphan"), "orders"))
-        .unionByName(_totals(_with_orphans(by_product, product_keys, "product_id", "product orphan"), "orders"))
+    return _totals(by_customer, customer_keys, "customer_id", "customers", "customer orphan").unionByName(
+        _totals(by_product, product_keys, "product_id", "products", "product orphan")
     )
 
 
@@ -79,28 +76,30 @@ def _per_key(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     )
 
 
-def _with_duplicates(keys: DataFrame, key: str) -> DataFrame:
-    """Rows beyond the first of each key, next to the other rules."""
-    surplus = F.when(F.col(key).isNotNull(), F.col("_rows") - 1).otherwise(0)
-    return keys.withColumn(f"{key} duplicate", surplus).drop(key, "_rows")
+def _totals(facts: DataFrame, keys: DataFrame, key: str, table: str, orphan_rule: str) -> DataFrame:
+    """One output row per rule of a dimension and of the orders counted by its key.
 
+    Both are grouped by the key already, so a full join meets them where they are: each is
+    computed once, for its own rules, for duplicates and for orphans.
+    """
 
-def _with_orphans(facts: DataFrame, dimension_keys: DataFrame, key: str, rule: str) -> DataFrame:
-    known = dimension_keys.select(key, F.lit(True).alias("_known"))
-    orphan = F.col(key).isNotNull() & F.col("_known").isNull()
-    return (
-        facts.join(known, key, "left")
-        .withColumn(rule, F.when(orphan, F.col("_rows")).otherwise(0))
-        .drop(key, "_rows", "_known")
-    )
-
+    def named(df: DataFrame, owner: str) -> DataFrame:
+        return df.select(key, *[F.col(f"`{c}`").alias(f"{owner}|{c}") for c in df.columns if c != key])
 
-def _totals(per_key: DataFrame, table: str) -> DataFrame:
-    """One output row per rule column."""
-    rules = per_key.columns
-    totals = per_key.agg(*[F.coalesce(F.sum(F.col(f"`{rule}`")), F.lit(0)).alias(rule) for rule in rules])
-    return totals.unpivot([], rules, "rule", "violations").select(
-        F.lit(table).alias("table_name"), "rule", "violations"
+    both = named(facts, "orders").join(named(keys, table), key, "full_outer")
+    known = F.col(key).isNotNull()
+    surplus, orphans = F.col(f"`{table}|_rows`") - 1, F.col("`orders|_rows`")
+    both = both.withColumns(
+        {
+            f"{table}|{key} duplicate": F.when(known, surplus),
+            f"orders|{orphan_rule}": F.when(known & F.col(f"`{table}|_rows`").isNull(), orphans),
+        }
+    )
+    rules = [c for c in both.columns if c != key and not c.endswith("|_rows")]
+    totals = both.agg(*[F.coalesce(F.sum(F.col(f"`{rule}`")), F.lit(0)).alias(rule) for rule in rules])
+    parts = F.split("rule", r"\|")
+    return totals.unpivot([], [F.col(f"`{rule}`") for rule in rules], "rule", "violations").select(
+        parts[0].alias("table_name"), parts[1].alias("rule"), "violations"
     )
 
 
