@@ -104,13 +104,15 @@ def near(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: s
     firsts = session.staged(full.groupBy("n", "one", "two").agg(F.min("id").alias("first")), "distinct-sets")
     distinct = full.join(firsts.withColumnRenamed("first", "id"), ["n", "one", "two", "id"], "left_semi")
     distinct = distinct.dropDuplicates(["n", "one", "two", "id"])
-    buckets = distinct.select(F.explode("bands").alias("key"), "id").distinct()
+    buckets = distinct.select(F.explode("bands").alias("key"), "id", "bits")
 
     def sets_of(ids: DataFrame) -> DataFrame:
         return whole_sets(rows.join(ids, "id", "left_semi"))
 
-    likely = estimate(F.col("a.bits"), F.col("b.bits")) >= percent / 100 - MARGIN
-    found = links.clusters(buckets, sets_of, percent, likely, distinct.select("id", "bits"))
+    def likely(a: Column, b: Column) -> Column:
+        return estimate(a["bits"], b["bits"]) >= percent / 100 - MARGIN
+
+    found = links.clusters(buckets, sets_of, percent, likely)
     names = firsts.join(found.withColumnRenamed("id", "first"), "first", "left")
     names = names.select("n", "one", "two", F.coalesce("component", "first").alias("named"))
     joined = signed.join(names, ["n", "one", "two"], "left")

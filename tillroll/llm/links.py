@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import session
 
+Likely = Callable[[Column, Column], Column]
+
 
 def alike(shared: Column, left: Column, right: Column, percent: int) -> Column:
     """Whether two sets of the given sizes that share so many have the similarity ``percent``."""
@@ -52,80 +56,53 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def clusters(
-    buckets: DataFrame,
-    sets_of,
-    percent: int,
-    likely: Column | None = None,
-    notes: DataFrame | None = None,
-) -> DataFrame:
+def clusters(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, likely: Likely) -> DataFrame:
     """id and component for all ids that are linked with another one.
 
-    ``buckets`` has distinct rows of key and id: ids that share a key are candidates. It is
-    computed twice, so a caller whose buckets are costly writes them first. ``sets_of`` takes a
-    DataFrame of ids and gives their id and grams. ``likely`` is a condition over a and b,
-    structs of the columns of ``notes`` (one row per id), that pairs must meet before their
-    whole sets are compared.
+    ``buckets`` has key, id and what ``likely`` needs of an id: ids that share a key are
+    candidates. Its rows are distinct, and it is computed twice, so a caller whose buckets are
+    costly writes them first. ``sets_of`` takes a DataFrame of ids and gives their id and
+    grams. ``likely`` tells of two structs of a row's columns whether their whole sets are
+    worth comparing.
 
     A bucket's rows meet its centre only. First an id meets two at most of its buckets'
-    smallest ids, the smallest and one chosen by a hash. Then, where a bucket still holds
-    several components, its rows meet one that a hash chooses from bucket to bucket. Only
+    smallest ids, the smallest likely one and one chosen by a hash. Then, where a bucket still
+    holds several components, its rows meet one that a hash chooses from bucket to bucket. Only
     ids of different components that are left in one bucket are then compared with each
     other, and only likely pairs leave that join. No candidate is dropped.
     """
     # Written first: the join is then between two plain shuffles, of which a hot key's part can be split.
     shared = session.staged(buckets.groupBy("key").count().filter("count > 1").select("key"), "shared-keys")
-    rows = session.staged(buckets.select("key", "id").join(shared, "key"), "shared-buckets")
+    rows = session.staged(buckets.join(shared, "key"), "shared-buckets")
+    row = F.struct("id", *[c for c in rows.columns if c not in ("key", "id")])
     sets = session.staged(sets_of(rows.select("id").distinct()), "sets")
-    centres = rows.groupBy("key").agg(F.min("id").alias("a"))
-    met = rows.join(centres, "key").filter("a < id").groupBy("id")
-    met = met.agg(F.min("a").alias("low"), F.min(F.struct(F.xxhash64("a", "id").alias("h"), "a")).alias("any"))
-    pairs = met.select(F.explode(F.array_distinct(F.array("low", "any.a"))).alias("a"), F.col("id").alias("b"))
-    edges = confirmed(_noted(pairs, likely, notes), sets, percent)
-    edges = session.staged(edges, "links")
+    centres = session.staged(rows.groupBy("key").agg(F.min(row).alias("a")), "centres")
+    met = rows.select("key", row.alias("b")).join(centres, "key").filter(F.col("a.id") < F.col("b.id"))
+    met = met.filter(likely(F.col("a"), F.col("b"))).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+    met = met.groupBy("b").agg(F.min("a").alias("low"), F.min(F.struct(F.xxhash64("a", "b").alias("h"), "a")).alias("any"))
+    pairs = met.select(F.explode(F.array_distinct(F.array("low", "any.a"))).alias("a"), "b")
+    edges = session.staged(confirmed(pairs, sets, percent), "links")
     for centred in (True, False):
-        found = components(edges)
-        left = rows.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        found = components(edges).withColumnRenamed("component", "found")
+        left = rows.select("key", "id", row.alias("row")).join(found, "id", "left")
+        left = left.select("key", "row", F.coalesce("found", "id").alias("component"))
+        member = F.struct(F.xxhash64("key", "row.id").alias("h"), "row", "component")
         open_keys = left.groupBy("key").agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.min(F.struct(F.xxhash64("key", "id").alias("h"), "id", "component")).alias("centre"),
+            F.min("component").alias("low"), F.max("component").alias("high"), F.min(member).alias("centre")
         )
-        open_keys = open_keys.filter("low < high").select("key", "centre")
-        rows = session.staged(left.join(open_keys, "key"), "open-buckets")
-        if rows.isEmpty():
-            return found
+        open_keys = session.staged(open_keys.filter("low < high").select("key", "centre"), "open-keys")
+        if open_keys.isEmpty():
+            break
+        rest = left.join(open_keys.select("key", *(["centre"] if centred else [])), "key")
         if centred:
-            pairs = rows.filter("component <> centre.component").select(F.col("centre.id").alias("c"), "id")
-            pairs = pairs.select(F.least("c", "id").alias("a"), F.greatest("c", "id").alias("b")).distinct()
-            pairs = _noted(pairs, likely, notes)
+            x, y = F.col("centre.row"), F.col("row")
+            met = rest.filter((F.col("component") != F.col("centre.component")) & likely(x, y))
         else:
-            pairs = _crossed(rows, likely, notes)
+            x, y = F.col("row"), F.col("other")
+            other = rest.select(F.col("key").alias("k"), F.col("row").alias("other"), F.col("component").alias("c"))
+            unlike = (F.col("key") == F.col("k")) & (F.col("component") < F.col("c"))
+            met = rest.join(other, unlike & likely(x, y))
+        ids = x["id"], y["id"]
+        pairs = met.select(F.least(*ids).alias("a"), F.greatest(*ids).alias("b")).distinct()
         edges = session.staged(edges.union(confirmed(pairs, sets, percent)).distinct(), "links")
     return components(edges)
-
-
-def _noted(pairs: DataFrame, likely: Column | None, notes: DataFrame | None) -> DataFrame:
-    """Pairs that meet the condition, the notes of both looked up."""
-    if likely is None:
-        return pairs
-    for name in ("a", "b"):
-        side = notes.select(F.col("id").alias(f"{name}_id"), F.struct(*notes.columns).alias(f"{name}_note"))
-        pairs = pairs.join(side, F.col(name) == F.col(f"{name}_id")).drop(f"{name}_id")
-    named = pairs.select(F.col("a_note").alias("a"), F.col("b_note").alias("b"))
-    return named.filter(likely).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
-
-
-def _crossed(rows: DataFrame, likely: Column | None, notes: DataFrame | None) -> DataFrame:
-    """Likely pairs of different components that share a bucket."""
-    rows = rows.select("key", "id", "component")
-    if likely is not None:
-        rows = rows.join(notes, "id")
-    names = rows.drop("key").columns
-    a = rows.select("key", F.struct(*names).alias("a"))
-    b = rows.select(F.col("key").alias("b_key"), F.struct(*names).alias("b"))
-    met = (F.col("key") == F.col("b_key")) & (F.col("a.component") < F.col("b.component"))
-    if likely is not None:
-        met = met & likely
-    pairs = a.join(b, met).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
