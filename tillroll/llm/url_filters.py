@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll import session
+
 #: Time is cut into pieces of so many days, so that captures meet only intervals of their time.
 PIECE_DAYS = 30
 
@@ -94,6 +96,8 @@ def filtered(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", u
         .groupBy("host", "path", "fetched_on")
         .agg(F.count(F.lit(1)).alias("active"), strongest.alias("top"))
     )
+    # Written first: the join is then between two plain shuffles, of which a hot page's part can be split.
+    decided = session.staged(decided, "decisions")
     return rows.join(decided, ["host", "path", "fetched_on"], "left").select(
         "page_id",
         "host",
