@@ -84,8 +84,9 @@ def test_estimate_matches_plain_bits(spark):
     kept = shingles.mixed(low.astype(np.uint64)) & np.uint64(2**bbit.BITS - 1)
     for i in range(20):
         equal = (kept[i] == kept[i + 20]).mean()
-        assert abs(got[i] - (equal - 1 / 16) / (15 / 16)) < 1e-12
-        assert abs(got[i] - 90 / 128) < 0.15
+        by_chance = 1 / 2**bbit.BITS
+        assert abs(got[i] - (equal - by_chance) / (1 - by_chance)) < 1e-12
+        assert abs(got[i] - 90 / 128) < bbit.MARGIN
 
 
 def test_components(spark):

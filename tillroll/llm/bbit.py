@@ -15,10 +15,10 @@ from tillroll.llm import links, shingles
 
 #: 32 bands of 4 minima miss a pair of similarity 0.75 once in 200,000 times.
 MINIMA, WIDTH, SEED = 128, 4, 7
-#: Low bits kept of each minimum.
-BITS = 4
+#: Low bits kept of each minimum. One is enough to tell unrelated texts from the threshold.
+BITS = 1
 #: Pairs whose estimate is this far below the threshold are not compared: five standard deviations.
-MARGIN = 0.2
+MARGIN = 0.3
 
 
 def signatures(docs: DataFrame) -> DataFrame:

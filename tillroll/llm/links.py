@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import ExitStack
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,25 +32,27 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     Alternates two steps until nothing changes: every id hands its larger neighbours to its
     smallest neighbour, then its smaller ones (large star, small star). Sums come before
     joins, so an id with very many links is one row per task. Each round is written to the
-    shared folder.
+    shared folder; only the result stays there.
     """
-    before = _state(edges)
-    for _ in range(rounds):
-        both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("m").alias("a"), "b").filter("a < b").distinct()
-        least = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(least, "b").select(F.col("m"), F.explode(F.array("a", "b")).alias("v"))
-        small = small.filter("m < v").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
-        edges = session.staged(small, "edges")
-        state = _state(edges)
-        if state == before:
-            break
-        before = state
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    roots = edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
-    return edges.select(F.col("b").alias("id"), F.col("a").alias("component")).union(roots)
+    with ExitStack() as stack:
+        before = _state(edges)
+        for _ in range(rounds):
+            both = edges.union(edges.select("b", "a"))
+            least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+            large = both.filter("b > a").join(least, "a").select(F.col("m").alias("a"), "b").filter("a < b").distinct()
+            least = large.groupBy("b").agg(F.min("a").alias("m"))
+            small = large.join(least, "b").select(F.col("m"), F.explode(F.array("a", "b")).alias("v"))
+            small = small.filter("m < v").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+            edges = stack.enter_context(session.temporary(small, "edges"))
+            state = _state(edges)
+            if state == before:
+                break
+            before = state
+        else:
+            raise RuntimeError(f"components did not settle in {rounds} rounds")
+        roots = edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
+        named = edges.select(F.col("b").alias("id"), F.col("a").alias("component")).union(roots)
+        return session.staged(named, "components")
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -71,38 +74,44 @@ def clusters(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
     ids of different components that are left in one bucket are then compared with each
     other, and only likely pairs leave that join. No candidate is dropped.
     """
-    # Written first: the join is then between two plain shuffles, of which a hot key's part can be split.
-    shared = session.staged(buckets.groupBy("key").count().filter("count > 1").select("key"), "shared-keys")
-    rows = session.staged(buckets.join(shared, "key"), "shared-buckets")
-    row = F.struct("id", *[c for c in rows.columns if c not in ("key", "id")])
-    sets = session.staged(sets_of(rows.select("id").distinct()), "sets")
-    centres = session.staged(rows.groupBy("key").agg(F.min(row).alias("a")), "centres")
-    met = rows.select("key", row.alias("b")).join(centres, "key").filter(F.col("a.id") < F.col("b.id"))
-    met = met.filter(likely(F.col("a"), F.col("b"))).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
-    met = met.groupBy("b").agg(F.min("a").alias("low"), F.min(F.struct(F.xxhash64("a", "b").alias("h"), "a")).alias("any"))
-    pairs = met.select(F.explode(F.array_distinct(F.array("low", "any.a"))).alias("a"), "b")
-    edges = session.staged(confirmed(pairs, sets, percent), "links")
-    for centred in (True, False):
-        found = components(edges).withColumnRenamed("component", "found")
-        left = rows.select("key", "id", row.alias("row")).join(found, "id", "left")
-        left = left.select("key", "row", F.coalesce("found", "id").alias("component"))
-        member = F.struct(F.xxhash64("key", "row.id").alias("h"), "row", "component")
-        open_keys = left.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.min(member).alias("centre")
-        )
-        open_keys = session.staged(open_keys.filter("low < high").select("key", "centre"), "open-keys")
-        if open_keys.isEmpty():
-            break
-        rest = left.join(open_keys.select("key", *(["centre"] if centred else [])), "key")
-        if centred:
-            x, y = F.col("centre.row"), F.col("row")
-            met = rest.filter((F.col("component") != F.col("centre.component")) & likely(x, y))
-        else:
-            x, y = F.col("row"), F.col("other")
-            other = rest.select(F.col("key").alias("k"), F.col("row").alias("other"), F.col("component").alias("c"))
-            unlike = (F.col("key") == F.col("k")) & (F.col("component") < F.col("c"))
-            met = rest.join(other, unlike & likely(x, y))
-        ids = x["id"], y["id"]
-        pairs = met.select(F.least(*ids).alias("a"), F.greatest(*ids).alias("b")).distinct()
-        edges = session.staged(edges.union(confirmed(pairs, sets, percent)).distinct(), "links")
-    return components(edges)
+    with ExitStack() as stack:
+
+        def kept(df: DataFrame, label: str) -> DataFrame:
+            """Written to the shared folder until the components are known."""
+            return stack.enter_context(session.temporary(df, label))
+
+        # Written first: the join is then between two plain shuffles, of which a hot key's part can be split.
+        shared = kept(buckets.groupBy("key").count().filter("count > 1").select("key"), "shared-keys")
+        rows = kept(buckets.join(shared, "key"), "shared-buckets")
+        row = F.struct("id", *[c for c in rows.columns if c not in ("key", "id")])
+        sets = kept(sets_of(rows.select("id").distinct()), "sets")
+        centres = kept(rows.groupBy("key").agg(F.min(row).alias("a")), "centres")
+        met = rows.select("key", row.alias("b")).join(centres, "key").filter(F.col("a.id") < F.col("b.id"))
+        met = met.filter(likely(F.col("a"), F.col("b"))).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+        met = met.groupBy("b").agg(F.min("a").alias("low"), F.min(F.struct(F.xxhash64("a", "b").alias("h"), "a")).alias("any"))
+        pairs = met.select(F.explode(F.array_distinct(F.array("low", "any.a"))).alias("a"), "b")
+        edges = kept(confirmed(pairs, sets, percent), "links")
+        for centred in (True, False):
+            found = components(edges).withColumnRenamed("component", "found")
+            left = rows.select("key", "id", row.alias("row")).join(found, "id", "left")
+            left = left.select("key", "row", F.coalesce("found", "id").alias("component"))
+            member = F.struct(F.xxhash64("key", "row.id").alias("h"), "row", "component")
+            open_keys = left.groupBy("key").agg(
+                F.min("component").alias("low"), F.max("component").alias("high"), F.min(member).alias("centre")
+            )
+            open_keys = kept(open_keys.filter("low < high").select("key", "centre"), "open-keys")
+            if open_keys.isEmpty():
+                return found.withColumnRenamed("found", "component")
+            rest = left.join(open_keys.select("key", *(["centre"] if centred else [])), "key")
+            if centred:
+                x, y = F.col("centre.row"), F.col("row")
+                met = rest.filter((F.col("component") != F.col("centre.component")) & likely(x, y))
+            else:
+                x, y = F.col("row"), F.col("other")
+                other = rest.select(F.col("key").alias("k"), F.col("row").alias("other"), F.col("component").alias("c"))
+                unlike = (F.col("key") == F.col("k")) & (F.col("component") < F.col("c"))
+                met = rest.join(other, unlike & likely(x, y))
+            ids = x["id"], y["id"]
+            pairs = met.select(F.least(*ids).alias("a"), F.greatest(*ids).alias("b")).distinct()
+            edges = kept(edges.union(confirmed(pairs, sets, percent)).distinct(), "links")
+        return components(edges)
