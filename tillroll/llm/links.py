@@ -59,7 +59,9 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def clusters(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, likely: Likely) -> DataFrame:
+def clusters(
+    buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, likely: Likely, centred: int = 1
+) -> DataFrame:
     """id and component for all ids that are linked with another one.
 
     ``buckets`` has key, id and what ``likely`` needs of an id: ids that share a key are
@@ -70,7 +72,8 @@ def clusters(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
 
     A bucket's rows meet its centre only. First an id meets two at most of its buckets'
     smallest ids, the smallest likely one and one chosen by a hash. Then, where a bucket still
-    holds several components, its rows meet one that a hash chooses from bucket to bucket. Only
+    holds several components, its rows meet one that a hash chooses from bucket to bucket,
+    ``centred`` times. Only
     ids of different components that are left in one bucket are then compared with each
     other, and only likely pairs leave that join. No candidate is dropped.
     """
@@ -91,19 +94,19 @@ def clusters(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
         met = met.groupBy("b").agg(F.min("a").alias("low"), F.min(F.struct(F.xxhash64("a", "b").alias("h"), "a")).alias("any"))
         pairs = met.select(F.explode(F.array_distinct(F.array("low", "any.a"))).alias("a"), "b")
         edges = kept(confirmed(pairs, sets, percent), "links")
-        for centred in (True, False):
+        for turn in range(centred + 1):
             found = components(edges).withColumnRenamed("component", "found")
             left = rows.select("key", "id", row.alias("row")).join(found, "id", "left")
             left = left.select("key", "row", F.coalesce("found", "id").alias("component"))
-            member = F.struct(F.xxhash64("key", "row.id").alias("h"), "row", "component")
+            member = F.struct(F.xxhash64("key", "row.id", F.lit(turn)).alias("h"), "row", "component")
             open_keys = left.groupBy("key").agg(
                 F.min("component").alias("low"), F.max("component").alias("high"), F.min(member).alias("centre")
             )
             open_keys = kept(open_keys.filter("low < high").select("key", "centre"), "open-keys")
             if open_keys.isEmpty():
                 return found.withColumnRenamed("found", "component")
-            rest = left.join(open_keys.select("key", *(["centre"] if centred else [])), "key")
-            if centred:
+            rest = left.join(open_keys.select("key", *(["centre"] if turn < centred else [])), "key")
+            if turn < centred:
                 x, y = F.col("centre.row"), F.col("row")
                 met = rest.filter((F.col("component") != F.col("centre.component")) & likely(x, y))
             else:

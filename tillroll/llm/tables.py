@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll import session
+
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    session.ship(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
