@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pathlib
 import posixpath
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -21,6 +23,7 @@ SETTINGS = {
 
 _local_dir: tempfile.TemporaryDirectory | None = None
 _databases: dict[str, list[str]] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str = "tillroll", master: str | None = None, conf: dict | None = None) -> SparkSession:
@@ -104,3 +107,26 @@ def new_database(spark: SparkSession) -> tuple[str, str]:
     name = "tillroll_" + folder.rsplit("-", 1)[1]
     _databases.setdefault(spark.sparkContext.applicationId, []).append(name)
     return name, folder
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need not find it where the driver does.
+
+    Once per application; a package that came as a zip with ``--py-files`` is there already.
+    """
+    app = spark.sparkContext.applicationId
+    package = pathlib.Path(__file__).resolve().parent
+    if app in _shipped or not package.is_dir():
+        return
+    with tempfile.TemporaryDirectory(prefix="tillroll-") as folder:
+        archive = pathlib.Path(folder, f"{package.name}.zip")
+        with zipfile.ZipFile(archive, "w") as packed:
+            for file in sorted(package.rglob("*.py")):
+                packed.write(file, file.relative_to(package.parent))
+        # Spark reads the file once more when an executor asks for it, so it is kept in the shared folder.
+        target = new_folder(spark, "code") + f"/{archive.name}"
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+        files.copyFromLocalFile(path(f"file://{archive}"), path(target))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)
