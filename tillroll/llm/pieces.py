@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +31,9 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Slots of the table of neighbours already tried, in each Python worker.
 PAIR_SLOTS = 1 << 21
 #: Characters encoded together; words with more symbols than LONG are walked one by one.
-BATCH_CHARS, LONG = 1 << 22, 64
+BATCH_CHARS, LONG = 1 << 20, 64
 #: Words whose ids a Python worker keeps before it starts afresh.
-KEPT_WORDS = 1 << 19
+KEPT_WORDS = 1 << 18
 
 
 class Model:
@@ -353,6 +354,11 @@ def read_model(spark: SparkSession, path: str = MODEL) -> bytes:
     return bytes(spark.read.format("binaryFile").load(path).select("content").first()["content"])
 
 
+def _sizes(batch: pa.RecordBatch) -> np.ndarray:
+    """Bytes of each text of a batch, which is turned into Python strings slice by slice."""
+    return pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False)
+
+
 def _slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``limit`` in all, one row at least."""
     start, total = 0, 0
@@ -371,9 +377,8 @@ def encode(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(data)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for first, end in _slices(np.array([len(t or "") for t in texts]), BATCH_CHARS):
-                ids, counts = encoder.encode(texts[first:end])
+            for first, end in _slices(_sizes(batch), BATCH_CHARS):
+                ids, counts = encoder.encode(batch.column("text").slice(first, end - first).to_pylist())
                 ids_of = batch.column("doc_id").slice(first, end - first)
                 yield pa.RecordBatch.from_arrays([ids_of, _lists(ids, counts)], ["doc_id", "ids"])
 
@@ -414,11 +419,11 @@ def round_trip(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(data)
         for batch in batches:
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            for first, end in _slices(np.array([len(t) for t in texts]), BATCH_CHARS):
-                ids, counts = encoder.encode(texts[first:end])
+            for first, end in _slices(_sizes(batch), BATCH_CHARS):
+                texts = batch.column("text").slice(first, end - first).to_pylist()
+                ids, counts = encoder.encode(texts)
                 decoded = decode_batch(encoder.model, ids, counts)
-                same = [a == b for a, b in zip(decoded, texts[first:end], strict=True)]
+                same = [a == (b or "") for a, b in zip(decoded, texts, strict=True)]
                 columns = [batch.column("doc_id").slice(first, end - first), pa.array(counts), _lists(ids, counts), pa.array(same)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "round_trip"])
 
