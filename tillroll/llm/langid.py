@@ -22,7 +22,7 @@ DIM = 1024
 NGRAM = 3
 SEED = 20_011
 #: Characters and texts handled together in a task; longer texts are read piece by piece.
-CHUNK_CHARS, CHUNK_TEXTS = 1 << 20, 256
+CHUNK_CHARS, CHUNK_TEXTS = 1 << 19, 256
 UNKNOWN = "und"
 
 
@@ -90,7 +90,7 @@ def _add(out: np.ndarray, pieces: list[str], owners: list[int]) -> None:
     for place in range(NGRAM):
         symbol = kinds // len(alphabet) ** (NGRAM - 1 - place) % len(alphabet)
         gram_vectors *= np.roll(table, NGRAM - 1 - place, axis=1)[symbol]
-    step = max(1, (1 << 23) // max(1, len(kinds)))
+    step = max(1, (1 << 21) // max(1, len(kinds)))
     for first in range(0, len(pieces), step):
         part = (rows >= first) & (rows < first + step)
         n = min(step, len(pieces) - first)
