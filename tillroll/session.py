@@ -99,6 +99,7 @@ def cleanup(spark: SparkSession) -> None:
     for database in _databases.pop(spark.sparkContext.applicationId, []):
         spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
     remove(spark, _own_root(spark))
+    _shipped.discard(spark.sparkContext.applicationId)
 
 
 def new_database(spark: SparkSession) -> tuple[str, str]:
