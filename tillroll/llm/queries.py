@@ -84,7 +84,7 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return paragraphs.repeated(read(spark, folder, "documents"))
+    return paragraphs.duplicates(read(spark, folder, "documents"))
 
 
 def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
