@@ -44,3 +44,34 @@ def test_dedup_keeps_columns(docs):
 def test_no_python_in_the_plan(docs):
     plan = exact.groups(docs([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_dedup_keeps_one_row_per_text(docs):
+    rows = [
+        (None, "No id"),
+        (None, "no id"),
+        (None, "also WITH id"),
+        (7, "also with id"),
+        (1, "twice"),
+        (1, "twice"),
+        (2, "of two texts"),
+        (2, "Other"),
+        (9, "other"),
+        (None, None),
+        (None, ""),
+    ]
+    for table in (rows, rows + rows):
+        df = docs(table, clash=True)
+        kept = exact.dedup(df)
+        assert kept.columns == df.columns
+        got = sorted(((r.doc_id, norm(r.text)) for r in kept.collect()), key=repr)
+        want = {norm(text): max((d for d, t in rows if norm(t) == norm(text) and d is not None), default=None) for _, text in rows}
+        assert got == sorted(((doc, text) for text, doc in want.items()), key=repr)
+
+
+def test_pipeline_stages_pass_one_row_per_text_on(docs):
+    import corpus_pipeline
+
+    rows = [(None, "a text without an id"), (None, "another text without one"), (3, "a text of its own")]
+    out = corpus_pipeline.near_dedup(None, corpus_pipeline.exact_dedup(None, docs(rows * 2), ""), "")
+    assert sorted(r.text for r in out.collect()) == sorted(text for _, text in rows)
