@@ -82,3 +82,19 @@ def test_repeated_rows_of_the_mix(docs):
         counts[r.doc_id] = counts.get(r.doc_id, 0) + 1
     assert counts.pop(99) == 1
     assert counts == {d: n for d, n in taken.items() if n}
+
+
+def test_repeated_rows_without_an_id_or_of_one(docs):
+    draw = random.Random(4)
+    for doc in (None, 5):
+        rows = [(doc, f"w{i} " * 10, "en", source, 0) for i, source in enumerate("a" * 300 + "b" * 300 + "c" * 60)]
+        draw.shuffle(rows)
+        target = {r.source: (r.target, r.source_size) for r in mixing.mix(docs(rows)).collect()}
+        per_row = {}
+        for r in mixing.repeated(docs(rows, clash=True)).collect():
+            per_row[r.source, r.text] = per_row.get((r.source, r.text), 0) + 1
+        assert max(per_row.values()) <= 3
+        for source, (want, size) in target.items():
+            got = 10 * sum(n for (s, _), n in per_row.items() if s == source)
+            # Rows that share an id are taken as one; those without an id spread, and the target is met.
+            assert abs(got - want) <= (10 if doc is None else size)

@@ -62,13 +62,31 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, most: int = 3, id_col
     looked into by the next digit, and so on, and the documents of the last one are taken if
     that comes nearer to the target. Thresholds are nested: a larger budget takes what a
     smaller one took. Null texts and texts without words have size 0 and take 0. Rows that
-    share an id share its hash. Hot sources are summed before they are shuffled.
+    share an id share its hash; rows without one have a hash of their text. Hot sources are
+    summed before they are shuffled.
     """
-    digits = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 9), 16, 10)
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col("source"), words(F.col("text")).alias("size"), digits.cast("bigint").alias("h")
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), *_measured(id_col))
     rows = session.staged(rows, "mixing-sizes")
+    plan = _plan(rows, weights, most).withColumnRenamed("source", "p_source")
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("p_source"))).select(
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * _times()).alias("taken")
+    )
+
+
+def _measured(id_col: str) -> list[Column]:
+    """source, size and h of a row of documents."""
+    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.coalesce(F.col("text"), F.lit(""))))
+    digits = F.conv(F.substring(F.md5(key), 1, 9), 16, 10)
+    return [F.col("source"), words(F.col("text")).alias("size"), digits.cast("bigint").alias("h")]
+
+
+def _times() -> Column:
+    """How often a row (h) is taken by its source's plan."""
+    return F.col("repeats") + (F.col("h") < F.col("prefix")).cast("bigint")
+
+
+def _plan(rows: DataFrame, weights: DataFrame | None, most: int) -> DataFrame:
+    """source, source_size, target, repeats and prefix (the first hash not taken once more) of every source."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     if weights is None:
         weights = ranked_weights(sizes.select("source"))
@@ -82,11 +100,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, most: int = 3, id_col
     plan = plan.withColumn("prefix", F.lit(0).cast("bigint"))
     for level in range(LEVELS):
         plan = session.staged(_narrowed(rows, plan, level), "mixing-plan")
-    plan = plan.withColumnRenamed("source", "p_source")
-    taken = F.col("size") * (F.col("repeats") + (F.col("h") < F.col("prefix")).cast("bigint"))
-    return rows.join(plan, F.col("source").eqNullSafe(F.col("p_source"))).select(
-        "doc_id", "source", "size", "source_size", "target", taken.alias("taken")
-    )
+    return plan
 
 
 def _narrowed(rows: DataFrame, plan: DataFrame, level: int) -> DataFrame:
@@ -127,9 +141,10 @@ def repeated(docs: DataFrame, weights: DataFrame | None = None, most: int = 3, i
     Documents without words carry no weight in the mix and stay once, so that none is lost
     for being empty.
     """
-    taken = mix(docs, weights, most, id_col)
-    times = F.when(F.col("size") == 0, 1).otherwise(F.col("taken") / F.col("size")).cast("int")
-    taken = taken.select(F.col("doc_id").alias("_mix_id"), times.alias("_mix_times")).distinct().filter("_mix_times > 0")
-    joined = docs.join(taken, docs[id_col].eqNullSafe(F.col("_mix_id")))
-    copies = F.explode(F.array_repeat(F.lit(True), F.col("_mix_times"))).alias("_mix_copy")
-    return joined.select(*[docs[c] for c in docs.columns], copies).drop("_mix_copy")
+    plan = _plan(session.staged(docs.select(*_measured(id_col)), "mixing-sizes"), weights, most)
+    plan = plan.select("repeats", "prefix", F.col("source").alias("p_source"))
+    rows = docs.select(F.struct(*docs.columns).alias("_mix_row"), *_measured(id_col))
+    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("p_source")))
+    times = F.when(F.col("size") == 0, 1).otherwise(_times()).cast("int")
+    copies = F.explode(F.array_repeat(F.lit(True), times)).alias("_mix_copy")
+    return joined.select("_mix_row", copies).select("_mix_row.*")
