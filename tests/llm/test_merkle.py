@@ -59,3 +59,15 @@ def test_edits_are_located(docs):
     sections = before.filter("doc_id = 1").select("section_digest").distinct().count()
     assert 3 < sections < 50
     assert merkle.nodes(docs([])).collect() == []
+
+
+def test_scattered_edits_weigh_the_same_at_every_length():
+    draw = random.Random(1)
+    for n in (100, 500, 20_000):
+        words = ["".join(draw.choices("abcdefghij", k=7)) for _ in range(n)]
+        edited = list(words)
+        for i in draw.sample(range(n), n // 100):
+            edited[i] = f"edited{i}"
+        assert merkle.likeness(merkle.fingerprint(" ".join(words)), merkle.fingerprint(" ".join(edited))) > 0.9
+        half = " ".join(words[: n // 2])
+        assert 0.5 < merkle.likeness(merkle.fingerprint(" ".join(words)), merkle.fingerprint(half)) < 0.8
