@@ -91,3 +91,11 @@ def test_models_that_are_not_supported():
     model.normalizer_spec.remove_extra_whitespaces = True
     with pytest.raises(ValueError, match="normaliser"):
         pieces.Model(model.SerializeToString())
+
+
+def test_words_that_begin_with_nul():
+    texts = ["a \0b", "\0b", "a b \0\0 \0", " \0a  \0b", "b"]
+    library = sentencepiece.SentencePieceProcessor(model_proto=DATA)
+    assert ids_of(DATA, texts) == [library.encode(text) for text in texts]
+    model = pieces.Model(DATA)
+    assert pieces.decode_batch(model, *pieces.Encoder(model).encode(texts)) == texts

@@ -274,10 +274,11 @@ class Encoder:
         """Words of a text, their first space left out; other words keep all their spaces behind one."""
         if not text:
             return []
-        if self.model.prefix and text[0] != " " and "  " not in text and SPACE not in text:
+        if self.model.prefix and text[0] != " " and "  " not in text and SPACE not in text and "\0" not in text:
             return text.split(" ")
         found = WORD.findall(self.model.prefix + text.replace(" ", SPACE))
-        return [word[1:] if word[0] == SPACE else "\0" + word for word in found]
+        # Behind U+0000 a word is kept as it is, also one that begins with U+0000 after its space.
+        return [word[1:] if word[0] == SPACE and word[1:2] != "\0" else "\0" + word for word in found]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and how many each text has."""
