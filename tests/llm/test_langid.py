@@ -72,3 +72,9 @@ def test_long_text_is_read_in_pieces(monkeypatch):
     whole = langid._units(langid.vectors([text]))
     monkeypatch.setattr(langid, "CHUNK_CHARS", 1000)
     assert float((langid._units(langid.vectors([text])) @ whole.T)[0, 0]) > 0.999
+
+
+def test_lettered_rows_stay_without_profiles(docs, odd_rows):
+    nothing = langid.train(docs([(1, "abc", None, "web", 3)]))
+    kept = langid.known(docs(odd_rows), nothing)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r in odd_rows if r[0] not in (1, 2, 3))

@@ -177,13 +177,14 @@ def detect(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col
 
 
 def known(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is not ``und``.
+    """The rows of ``docs``, all columns, whose language is not ``und``: those with a letter.
 
-    One pass over the texts: the rows themselves go through the scoring, so nothing is joined.
+    Some profile is the nearest for every text with a letter, so none is compared with the
+    profiles; without profiles texts with a letter stay as well. One pass over the texts: the rows themselves go through the scoring, so nothing is joined.
     """
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lettered = vectors(batch.column(text_col).to_pylist()).any(axis=1) & bool(profiles.langs)
+            lettered = vectors(batch.column(text_col).to_pylist()).any(axis=1)
             yield batch.filter(pa.array(lettered))
 
     return docs.mapInArrow(keep, docs.schema)
