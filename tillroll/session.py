@@ -7,7 +7,7 @@ import posixpath
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,12 +74,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 @contextmanager
-def temporary(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """``df`` staged for the length of a block, and removed after it, also after an error."""
+def temporary(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """``df`` staged for the length of a block, and removed after it, also after an error.
+
+    Filters on the ``partition_by`` columns then read the files of those values only.
+    """
     spark = df.sparkSession
     path = new_folder(spark, label)
     try:
-        df.write.parquet(path)
+        df.write.partitionBy(*partition_by).parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         remove(spark, path)
