@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bbit, bwt, exact, langid, merkle, mixing, paragraphs, pieces, toxicity, url_filters
-from tillroll.llm.tables import read
+from tillroll.llm import bbit, bpe, bwt, exact, langid, lexical, manifest, merkle, mixing, paragraphs, pieces, toxicity, url_filters
+from tillroll.llm.tables import ascii_lower, read
 
 
 def _drawn(text: Column) -> Column:
@@ -92,7 +92,113 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op2_mixing, op3_fingerprints, op4_toxicity, op5_language_id, op6_pieces, op7_near_dedup, op8_exact_dedup, op9_paragraph_dedup, op10_suffix_dedup)}
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.best(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.counts(read(spark, folder, "documents"), bpe.read_ranks(spark))
+
+
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all rows; a fifth of the rows is then checked against a text in lower case."""
+    docs = read(spark, folder, "documents")
+    touched = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    values = [ascii_lower(F.col(c), null=None) if c == "text" else F.col(c) for c in manifest.COLUMNS]
+    found = manifest.proofs(docs, carried={"changed": F.when(touched, manifest.leaf(values))})
+    root = manifest.folded(F.coalesce("changed", "leaf"), F.col("path"))
+    found = found.select("doc_id", "leaf", "subroot", "root", manifest.siblings_digest(F.col("path")).alias("proof_sha256"), root.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_url_filters,
+        op2_mixing,
+        op3_fingerprints,
+        op4_toxicity,
+        op5_language_id,
+        op6_pieces,
+        op7_near_dedup,
+        op8_exact_dedup,
+        op9_paragraph_dedup,
+        op10_suffix_dedup,
+        op11_lexical_search,
+        op12_token_counts,
+        op13_manifest,
+    )
+}
+
+def manifest_sql(levels: int = 6) -> str:
+    """SQL that joins nodes level by level, for up to 16 ** ``levels`` rows of a source and sources."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+    def row(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str, items: str, group: str) -> str:
+        """``name``_k: the nodes of level k with the group, their place and how many the group has."""
+        steps = [f"{name}_0 AS (SELECT {group} AS grp, place, many, hash FROM {items})"]
+        for k in range(1, levels + 1):
+            steps.append(
+                f"{name}_{k} AS (SELECT grp, place // 16 AS place, (any_value(many) + 15) // 16 AS many, "
+                f"CASE WHEN any_value(many) > 1 THEN sha256(string_agg(hash, '' ORDER BY place)) ELSE any_value(hash) END AS hash "
+                f"FROM {name}_{k - 1} GROUP BY grp, place // 16)"
+            )
+        return ", ".join(steps)
+
+    def path(name: str) -> str:
+        """Per level the siblings left and right of an item's node; none where nothing is joined."""
+        return ", ".join(
+            f"{name}_p{k} AS (SELECT *, "
+            f"coalesce(string_agg(hash, '' ORDER BY place) OVER (PARTITION BY grp, place // 16 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+            f"coalesce(string_agg(hash, '' ORDER BY place) OVER (PARTITION BY grp, place // 16 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r "
+            f"FROM {name}_{k})"
+            for k in range(levels)
+        )
+
+    def joined(name: str, group: str, place: str) -> str:
+        return " ".join(
+            f"JOIN {name}_p{k} {name}{k} ON {name}{k}.grp IS NOT DISTINCT FROM {group} AND {name}{k}.place = {place} // {16**k}"
+            for k in range(levels)
+        )
+
+    runs = [f"{name}{k}" for name in ("leaves", "tops") for k in range(levels)]
+    proof = " || ".join(f"{run}.l || {run}.r" for run in runs)
+    # Each step of the folding has a name, as it is used twice by its own test.
+    folds, last = [], "start"
+    for i, run in enumerate(runs):
+        folds.append(f"f{i} AS (SELECT *, CASE WHEN {run}_many > 1 THEN sha256({run}_l || {last} || {run}_r) ELSE {last} END AS s{i} FROM {'base' if i == 0 else f'f{i - 1}'})")
+        last = f"s{i}"
+    sides = ", ".join(f"{run}.l AS {run}_l, {run}.r AS {run}_r, {run}.many AS {run}_many" for run in runs)
+    crc = (
+        "xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT), lambda crc, c: "
+        "list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, c)), 4294967295), 4294967295)"
+    )
+    return f"""
+        WITH numbered AS (
+            SELECT doc_id, source, {row("text")} AS hash,
+                   CASE WHEN {crc} % 5 = 0 THEN {row(lower)} END AS changed
+            FROM documents
+        ), items AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id, hash) - 1 AS place, count(*) OVER (PARTITION BY source) AS many
+            FROM numbered
+        ), {tree("leaves", "items", "source")}, {path("leaves")},
+        sources AS (
+            SELECT grp AS source, hash, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS place, count(*) OVER () AS many FROM leaves_{levels}
+        ), {tree("tops", "sources", "0")}, {path("tops")},
+        base AS (
+            SELECT items.doc_id, items.hash AS leaf, sources.hash AS subroot, root.hash AS root,
+                   sha256({proof}) AS proof_sha256, coalesce(items.changed, items.hash) AS start, {sides}
+            FROM items JOIN sources ON sources.source IS NOT DISTINCT FROM items.source, tops_{levels} root
+            {joined("leaves", "items.source", "items.place")} {joined("tops", "0", "sources.place")}
+        ), {", ".join(folds)}
+        SELECT doc_id, leaf, subroot, root, proof_sha256, {last} AS folded_root, {last} = root AS verified FROM f{len(runs) - 1}"""
+
 
 ORACLES = {
     "op1_url_filters": r"""
@@ -166,4 +272,39 @@ ORACLES = {
             FROM documents
         )
         WINDOW same AS (PARTITION BY norm)""",
+    "op11_lexical_search": r"""
+        WITH documents_terms AS (
+            SELECT doc_id, list_transform(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+                   lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS terms
+            FROM documents
+        ), filled AS (
+            SELECT doc_id, terms, len(terms)::BIGINT AS n FROM documents_terms WHERE len(terms) > 0
+        ), totals AS (
+            SELECT count(*)::BIGINT AS many, sum(n)::BIGINT AS length FROM filled
+        ), item_terms AS (
+            SELECT item_id, term, count(*)::BIGINT AS q
+            FROM (
+                SELECT item_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+                FROM benchmark
+            )
+            GROUP BY ALL
+        ), counted AS (
+            SELECT doc_id, n, term, count(*)::BIGINT AS tf
+            FROM (SELECT doc_id, n, unnest(terms) AS term FROM filled)
+            WHERE term IN (SELECT term FROM item_terms)
+            GROUP BY ALL
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * many + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight
+            FROM (SELECT term, count(*)::BIGINT AS df FROM counted GROUP BY term), totals
+        ), scores AS (
+            SELECT item_id, doc_id,
+                   sum(q * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * many) // length))))::BIGINT AS score
+            FROM item_terms JOIN weights USING (term) JOIN counted USING (term), totals
+            GROUP BY ALL
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM scores WHERE score > 0
+        QUALIFY rank <= 10""",
+    "op13_manifest": manifest_sql(),
 }

@@ -21,7 +21,7 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z and nothing else; null counts as empty."""
+def ascii_lower(text: Column, null: str | None = "") -> Column:
+    """Lower-case A-Z and nothing else; null counts as ``null``."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.translate(F.coalesce(text, F.lit("")), upper, upper.lower())
+    return F.translate(text if null is None else F.coalesce(text, F.lit(null)), upper, upper.lower())
