@@ -5,6 +5,7 @@ import math
 
 import pytest
 from helpers import plan, rows
+from pyspark.sql import functions as F
 
 from tillroll.operators import clean, reports
 
@@ -80,3 +81,13 @@ def test_status_tests_reach_the_scan_of_filled_orders(spark, make, tmp_path):
     orders = clean.orders(spark.read.parquet(str(tmp_path / "orders")), "fill")
     assert "Or(IsNull(status),In(status, [cancelled,completed,pending,unknown]))" in plan(orders)
     assert "EqualNullSafe(status,completed)" in plan(reports.completed(orders))
+
+
+def test_one_row_per_key(spark, make):
+    rows = [(1, "a", None, "UK"), (1, "b", "b@x.y", "UK"), (1, "z", None, None), (2, None, None, None), (2, None, None, None), (None, "n", None, None), (None, "m", None, None)]
+    got = clean.one_per_key(make("customers", rows), "customer_id")
+    assert got.columns == ["customer_id", "name", "email", "country"]
+    assert sorted(map(tuple, got.collect()), key=repr) == [(1, "b", "b@x.y", "UK"), (2, None, None, None), (None, "n", None, None)]
+    latest = clean.one_per_key(make("customers", rows), "customer_id", prefer=[F.col("name")])
+    assert {tuple(r)[:2] for r in latest.collect()} == {(1, "z"), (2, None), (None, "n")}
+    assert clean.one_per_key(make("customers", []), "customer_id").collect() == []

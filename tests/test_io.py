@@ -3,14 +3,15 @@ from __future__ import annotations
 import datetime
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tillroll import __main__ as job
 from tillroll import schemas, session
-from tillroll.operators import quality, reports
+from tillroll.operators import flatten, quality, reports
 from tillroll.plans import publish
+from tillroll.plans.inputs import FILL, Inputs, bucketed
 from tillroll.sinks import catalog, csv, jdbc
 from tillroll.sources import files, tables
 
@@ -260,3 +261,36 @@ def test_job_into_tables(spark, tmp_path, database, make):
     assert rows(spark.table(f"{database}.order_details").select("customer_name", "status")) == [
         ("Unknown Customer", "bogus")
     ] * 2
+
+
+def test_lines_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    lines = ["1,2,3,2024-01-02,1.5,completed", "x,2,3,2024-01-02,abc,pending", "4,,,,,", "5,6", "7,8,9,2024-01-02,2.5,completed,late", '8,1,1,"a,b",NaN,']
+    (tmp_path / "orders.csv").write_text("\n".join(["order_id,customer_id,product_id,order_date,amount,status", *lines]) + "\n")
+    fitting, rejects = files.read_csv_checked(spark, str(tmp_path / "orders.csv"), schemas.orders())
+    assert [tuple(r)[:4] for r in fitting.orderBy("order_id").collect()] == [(1, 2, 3, "2024-01-02"), (4, None, None, None), (8, 1, 1, "a,b")]
+    assert fitting.schema == schemas.orders()
+    found = {r.order_id: (r.reasons, r.line) for r in rejects.collect()}
+    assert found == {"x": (["order_id", "amount"], None), "5": (["columns"], "5,6"), "7": (["columns"], lines[4])}
+    assert fitting.select("status").count() + rejects.count() == len(lines)
+
+
+def test_a_header_of_other_columns_raises(spark, tmp_path):
+    (tmp_path / "orders.csv").write_text("order_id,product_id,customer_id,order_date,amount,status\n1,2,3,2024-01-02,1.5,completed\n")
+    fitting, _ = files.read_csv_checked(spark, str(tmp_path / "orders.csv"), schemas.orders())
+    with pytest.raises(Exception, match="header"):
+        fitting.collect()
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, make, conf):
+    conf(autoBroadcastJoinThreshold="-1")
+    orders = make("orders", [(i, i % 7 or None, i % 5, "2024-01-02", 1.0, "completed") for i in range(50)])
+    customers = make("customers", [(i, f"c{i}", "e@x.y", "UK") for i in range(6)])
+    products = make("products", [(i, f"p{i}", "cat", 2.0) for i in range(5)])
+    inputs = Inputs(orders, customers, products, FILL)
+    database, location = session.new_database(spark)
+    catalog.ensure_database(spark, database, location)
+    stored = bucketed(inputs, database, 4)
+    assert sorted(rows(stored.order_details()), key=repr) == sorted(rows(inputs.order_details()), key=repr)
+    joined = flatten.with_customers(stored.orders, stored.customers)
+    assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
+    assert plan(stored.order_details()).count("Exchange hashpartitioning") == 1

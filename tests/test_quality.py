@@ -5,6 +5,7 @@ import math
 from helpers import rows
 
 from tillroll.operators import quality
+from tillroll.sources import defects
 
 
 def test_audit(make):
@@ -58,3 +59,14 @@ def test_row_counts(make, spark):
     orders = make("orders", [(1, 1, 1, None, None, None)] * 3)
     assert rows(quality.row_counts({"orders": orders, "none": orders.limit(0)})) == [("orders", 3), ("none", 0)]
     assert rows(quality.table_row_counts(spark, "default", ("missing",))) == [("missing", None)]
+
+
+def test_quarantine_adds_up_to_the_audit(spark):
+    tables = [f(spark, "/root/testdata/sf0.001") for f in (defects.orders, defects.customers, defects.products)]
+    tables[1] = tables[1].union(tables[1].filter("customer_id < 9")).union(tables[1].filter("customer_id < 4"))
+    found = quality.quarantine(*tables)
+    sums = {(r.table_name, r.rule): r.n for r in found.groupBy("table_name", "rule").agg({"violations": "sum"}).toDF("table_name", "rule", "n").collect()}
+    audit = {(r.table_name, r.rule): r.violations for r in quality.audit(*tables).collect() if r.violations}
+    assert sums == audit and ("customers", "customer_id duplicate") in sums
+    record = found.filter("table_name = 'orders' AND rule = 'status unlisted'").first().record
+    assert '"status":"bogus"' in record

@@ -7,8 +7,9 @@ alone. Missing means null, and for numbers NaN as well.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +47,19 @@ def products(df: DataFrame, policy: str = "fill") -> DataFrame:
     return fill(df, schemas.PRODUCT_DEFAULTS) if policy == "fill" else df
 
 
+def one_per_key(df: DataFrame, key: str, prefer: Sequence[Column] = ()) -> DataFrame:
+    """One row per key, so that a join on it does not multiply the other side.
+
+    The row with the greatest ``prefer`` stays, then the one with most values present, then the greatest
+    by its columns in order. Rows are compared where they are before they move, so a
+    key that has very many rows is one row per task. Rows without a key become one.
+    """
+    others = [name for name in df.columns if name != key]
+    present = reduce(add, [is_present(df, name).cast("int") for name in others], F.lit(0))
+    best = F.max_by(F.struct(*others), F.struct(*prefer, present, *others))
+    return df.groupBy(key).agg(best.alias("_best")).select(*[f"_best.{c}" if c != key else key for c in df.columns])
+
+
 def orders(df: DataFrame, policy: str = "fill", fill_keys: bool = True) -> DataFrame:
     """Clean orders; the date becomes a date, null where the text is malformed.
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll import schemas
 from tillroll.operators import clean, flatten
 from tillroll.plans import star_reports
+from tillroll.sinks import catalog
 from tillroll.sources import defects, star
 
 
@@ -84,6 +85,20 @@ class Inputs:
         return star_reports.popular_categories(self.orders, self.products, self.variant.filled, **options)
 
 
+def bucketed(inputs: Inputs, database: str, buckets: int) -> Inputs:
+    """The same inputs, cleaned once, from tables that lie by the keys of the joins.
+
+    Orders and customers then meet without a shuffle, as often as they are joined. Products have another
+    key: they are broadcast where they are small, else only the joined rows are dealt to their buckets.
+    """
+    places = {"orders": "customer_id", "customers": "customer_id", "products": "product_id"}
+    tables = [
+        catalog.write_bucketed(getattr(inputs, name), f"{database}.{name}_bucketed", key, buckets)
+        for name, key in places.items()
+    ]
+    return Inputs(*tables, Variant("none", "none", inputs.variant.filled))
+
+
 def _frame(source: Callable[[], DataFrame] | DataFrame) -> DataFrame:
     return source() if callable(source) else source
 

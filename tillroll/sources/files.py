@@ -24,6 +24,26 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
 
 
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: T.StructType, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit the declared schema, typed, and the others as text with ``line`` and ``reasons``.
+
+    ``reasons`` lists ``columns`` where a line has too few or too many of them, with the line as it
+    was read, and each column whose text is no value of its type. Empty fields are null and fit. A header that
+    names other columns than the schema, or names them in another order, raises when it is read.
+    """
+    text = T.StructType([T.StructField(name, T.StringType()) for name in schema.names] + [T.StructField("line", T.StringType())])
+    options = CSV_OPTIONS | {"header": header, "enforceSchema": not header, "columnNameOfCorruptRecord": "line"}
+    raw = spark.read.schema(text).options(**options).csv(path)
+    typed = {field.name: F.col(field.name).try_cast(field.dataType) for field in schema}
+    wrong = [F.when(F.col("line").isNotNull(), "columns")]
+    wrong += [F.when(F.col(name).isNotNull() & value.isNull(), name) for name, value in typed.items()]
+    marked = raw.withColumn("reasons", F.array_compact(F.array(*wrong)))
+    fitting = marked.filter(F.size("reasons") == 0).select(*[value.alias(name) for name, value in typed.items()])
+    return fitting, marked.filter(F.size("reasons") > 0)
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet holds its schema; giving it saves the job that reads a footer for it."""
     reader = spark.read if schema is None else spark.read.schema(schema)
