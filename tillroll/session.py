@@ -36,6 +36,13 @@ def build_session(app_name: str = "tillroll", master: str | None = None, conf: d
     return builder.getOrCreate()
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer takes ``df`` for small enough to be sent to every executor, by its own estimate and limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return 0 <= int(str(size)) <= limit
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll import session
 from tillroll.functions import dates, money
 from tillroll.operators import sums
 from tillroll.sources import files
@@ -97,12 +98,16 @@ def order_sums(spark: SparkSession, folder: str, since: Column | None = None) ->
     """Lines summed per order, with customer_id, order_date and status.
 
     Summing comes first, on the join's own key: no shuffle is added, each order
-    is one row in it, and an order with very many lines is no hot key.
+    is one row in it, and an order with very many lines is no hot key. Where the headers are small
+    enough to be broadcast that shuffle is not needed at all: lines then stay lines, and
+    the reports sum them by their own keys.
     ``since`` keeps orders from a date on. Headers are few then, so the lines are not
     summed first: the join comes with a runtime filter on them, or a broadcast.
     """
     lines, raw = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     same = F.col("l_orderkey") == F.col("o_orderkey")
+    if since is None and session.fits_broadcast(raw.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")):
+        return lines.join(raw, same, "left").selectExpr(*_select("order_id", *_HEADER, "amount"))
     if since is not None:
         header = ("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
         recent = lines.join(raw.filter(F.col("o_orderdate") >= since), same)
