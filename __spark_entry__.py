@@ -11,13 +11,15 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oracles import ORACLES
 from tillroll import schemas, session
 from tillroll.functions import money, shares
 from tillroll.operators import clean, flatten, quality, reports
 from tillroll.plans import publish, sql_reports, star_reports
-from tillroll.plans.inputs import DROP, DROP_ONLY, FILL, Variant, from_defects, star_order_details
+from tillroll.plans.inputs import DROP, DROP_ONLY, FILL, Inputs, Variant, bucketed, from_defects, star_order_details
+from tillroll.plans.loads import Loads
 from tillroll.plans.report_sets import report_set
 from tillroll.sinks import catalog, csv
 from tillroll.sources import defects, files, star, tables
@@ -114,6 +116,15 @@ def queries() -> dict[str, Query]:
         "revenue_fine_amounts": _fine_revenue,
         "report_set_recent": lambda spark, d: _report_set(spark, d, "recent"),
         "report_set_complete": lambda spark, d: _report_set(spark, d, "complete"),
+        # Loads that run again, rows that do not fit, keys that repeat, stored layouts.
+        "loads_run_twice": lambda spark, d: _loaded(spark, d).order_details().withColumn("amount", F.col("amount").cast("double")),
+        "reports_after_loads": _reports_after_loads,
+        "monthly_revenue_stored": _stored_revenue,
+        "csv_rejects": lambda spark, d: _checked_csv(spark, d)[1].select("order_id", F.array_join("reasons", ",").alias("reasons")),
+        "csv_accepted": lambda spark, d: _checked_csv(spark, d)[0],
+        "dq_quarantine": _quarantine,
+        "order_details_one_per_key": _one_per_key,
+        "order_details_bucketed": lambda spark, d: bucketed(from_defects(spark, d, FILL), _new_database(spark), 8).order_details(),
         **_llm_queries(),
     }
 
@@ -156,6 +167,72 @@ def _audit(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _new_database(spark: SparkSession) -> str:
+    database, location = session.new_database(spark)
+    catalog.ensure_database(spark, database, location)
+    return database
+
+
+def _loaded(spark: SparkSession, folder: str) -> Loads:
+    """Two loads, one of which has run twice."""
+    loads = Loads(spark, *session.new_database(spark))
+    details = from_defects(spark, folder, FILL).order_details()
+    for part in (0, 1, 1):
+        loads.load(details.filter(F.col("order_id") % 2 == part), f"part-{part}")
+    return loads
+
+
+def _reports_after_loads(spark: SparkSession, folder: str) -> DataFrame:
+    loads = _loaded(spark, folder)
+    values = {
+        "top_customers": ("concat_ws('/', customer_name, country)", "total_spend", {"k": None}),
+        "monthly_revenue": ("month", "monthly_revenue", {}),
+        "popular_categories": ("category", "order_count", {}),
+        "order_status": ("status", "percentage", {}),
+    }
+    parts = [
+        loads.report(report, **options).selectExpr(f"'{report}' AS report", f"{name} AS name", f"CAST({value} AS DOUBLE) AS value")
+        for report, (name, value, options) in values.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _stored_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue of the half year before the newest order, from stored months."""
+    loads = _loaded(spark, folder)
+    return reports.monthly_revenue(loads.order_details(loads.window_start(days=180)), descending=True)
+
+
+def _checked_csv(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Orders written as lines, some with a number that is none, too many or too few columns, and read again."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in star.ORDER_COLUMNS]
+    order = F.col("order_id")
+    shown[0] = F.when(order % 37 == 0, F.concat(F.lit("#"), shown[0])).otherwise(shown[0])
+    shown[4] = F.when(order % 31 == 0, F.lit("n/a")).otherwise(shown[4])
+    line = F.when(order % 41 == 0, F.concat_ws(",", *shown, F.lit("late"))).when(order % 43 == 0, F.concat_ws(",", *shown[:4]))
+    path = session.new_folder(spark, "lines")
+    defects.orders(spark, folder).select(line.otherwise(F.concat_ws(",", *shown))).write.text(path)
+    return files.read_csv_checked(spark, path, schemas.orders(T.LongType()), header=False)
+
+
+def _quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.quarantine(defects.orders(spark, folder), defects.customers(spark, folder), defects.products(spark, folder))
+    return found.drop("record")
+
+
+def _one_per_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh customer and product is there again, with less said of it."""
+    inputs = from_defects(spark, folder, FILL)
+
+    def one(df: DataFrame, key: str, *blank: str) -> DataFrame:
+        again = df.filter(F.col(key) % 7 == 0).withColumns({name: F.lit(None).cast("string") for name in blank})
+        return clean.one_per_key(df.unionByName(again), key)
+
+    customers = one(defects.customers(spark, folder), "customer_id", "name", "country")
+    products = one(defects.products(spark, folder), "product_id", "category")
+    return Inputs(defects.orders(spark, folder), customers, products, inputs.variant).order_details()
+
+
 # The results of the queries below are read after they return, so what they write stays for session.cleanup().
 def _table_row_counts(spark: SparkSession, folder: str, variant: Variant = FILL, style: str = "tables") -> DataFrame:
     details = from_defects(spark, folder, variant).order_details()

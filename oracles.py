@@ -154,22 +154,9 @@ _HALF_YEAR = f" AND order_date >= {_NEWEST} - INTERVAL 180 DAY"
 _SIX_MONTHS = f" AND order_date >= {_NEWEST} - INTERVAL 6 MONTH"
 
 
-def _rules(table: str, name: str, key: str, rules: dict[str, str]) -> list[str]:
-    return [
-        f"SELECT '{name}' AS table_name, '{rule}' AS rule, count(*) AS violations FROM {table} WHERE {test}"
-        for rule, test in rules.items()
-    ] + (
-        [
-            f"SELECT '{name}', '{key} duplicate', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM"
-            f" (SELECT count(*) AS n FROM {table} WHERE {key} IS NOT NULL GROUP BY {key})"
-        ]
-        if key
-        else []
-    )
-
-
-_AUDIT = f"WITH {_DIRTY}\n" + "\nUNION ALL ".join(
-    _rules(
+# Table, name, key, and what breaks each rule.
+_RULES = [
+    (
         "customers_dirty",
         "customers",
         "customer_id",
@@ -180,8 +167,8 @@ _AUDIT = f"WITH {_DIRTY}\n" + "\nUNION ALL ".join(
             "country null": "country IS NULL",
             "email invalid": r"NOT regexp_matches(email, '^[^@\s]+@[^@\s]+\.[^@\s]+$')",
         },
-    )
-    + _rules(
+    ),
+    (
         "products_dirty",
         "products",
         "product_id",
@@ -192,11 +179,11 @@ _AUDIT = f"WITH {_DIRTY}\n" + "\nUNION ALL ".join(
             "price null": "price IS NULL",
             "price negative": "price < 0",
         },
-    )
-    + _rules(
+    ),
+    (
         "orders_dirty",
         "orders",
-        "",
+        "order_id",
         {
             "order_id null": "order_id IS NULL",
             "customer_id null": "customer_id IS NULL",
@@ -211,8 +198,25 @@ _AUDIT = f"WITH {_DIRTY}\n" + "\nUNION ALL ".join(
             "product orphan": "product_id IS NOT NULL AND NOT EXISTS"
             " (SELECT 1 FROM products_dirty p WHERE p.product_id = orders_dirty.product_id)",
         },
-    )
-)
+    ),
+]
+
+
+def _audit(named: bool) -> str:
+    """Violations per rule, or with ``named`` those of each row and key."""
+    parts = []
+    for table, name, key, rules in _RULES:
+        shown = f"CAST({key} AS VARCHAR) AS record_key, CAST(1 AS BIGINT)" if named else "count(*)"
+        parts += [
+            f"SELECT '{name}' AS table_name, '{rule}' AS rule, {shown} AS violations FROM {table} WHERE {test}"
+            for rule, test in rules.items()
+        ]
+        if name != "orders":
+            counts = f"(SELECT {key}, count(*) AS n FROM {table} WHERE {key} IS NOT NULL GROUP BY {key})"
+            shown = f"CAST({key} AS VARCHAR), n - 1" if named else "CAST(coalesce(sum(n - 1), 0) AS BIGINT)"
+            parts.append(f"SELECT '{name}', '{key} duplicate', {shown} FROM {counts}" + " WHERE n > 1" * named)
+    return f"WITH {_DIRTY}\n" + "\nUNION ALL ".join(parts)
+
 
 _ROW_COUNTS = f"""{_FILL_DETAILS}
 SELECT 'order_details' AS table_name, count(*) AS row_count FROM details
@@ -256,6 +260,21 @@ UNION ALL SELECT 'monthly_revenue', count(*) FROM ({_monthly_ym(" AND order_date
 UNION ALL SELECT 'popular_categories', count(*) FROM ({_categories(" AND category IS NOT NULL")})
 UNION ALL SELECT 'order_status', count(*) FROM ({_STATUS})"""
 
+_AFTER_LOADS = f"""{_FILL_DETAILS}
+SELECT 'top_customers' AS report, customer_name || '/' || country AS name, total_spend AS value FROM ({_top_customers(limit="")})
+UNION ALL SELECT 'monthly_revenue', month, monthly_revenue FROM ({_monthly()})
+UNION ALL SELECT 'popular_categories', category, CAST(order_count AS DOUBLE) FROM ({_categories()})
+UNION ALL SELECT 'order_status', status, percentage FROM ({_STATUS_PCT})"""
+
+_FITS = "order_id % 37 <> 0 AND order_id % 31 <> 0 AND order_id % 41 <> 0 AND order_id % 43 <> 0"
+_REJECTS = f"""WITH {_DIRTY}
+SELECT CASE WHEN order_id % 37 = 0 THEN '#' ELSE '' END || order_id::VARCHAR AS order_id,
+       concat_ws(',', CASE WHEN order_id % 41 = 0 OR order_id % 43 = 0 THEN 'columns' END,
+                 CASE WHEN order_id % 37 = 0 THEN 'order_id' END,
+                 CASE WHEN order_id % 31 = 0 AND (order_id % 41 = 0 OR order_id % 43 <> 0) THEN 'amount' END) AS reasons
+FROM orders_dirty WHERE NOT ({_FITS})"""
+
+
 _SELECT_DETAILS = f"SELECT {_ALL_COLUMNS} FROM details"
 
 ORACLES = {
@@ -303,7 +322,7 @@ GROUP BY customer_id, customer_name, country""",
     "monthly_revenue_ym_unfilled": _DROP_ONLY_DETAILS + _monthly_ym(" AND order_date IS NOT NULL"),
     "popular_categories_unfilled": _DROP_ONLY_DETAILS + _categories(" AND category IS NOT NULL"),
     "order_status_half_even": _DROP_ONLY_DETAILS + _STATUS_HALF_EVEN,
-    "dq_audit": _AUDIT,
+    "dq_audit": _audit(named=False),
     "table_row_counts": _ROW_COUNTS,
     "table_row_counts_unfilled": _ROW_COUNTS_UNFILLED,
     "publish_append": _published("append"),
@@ -316,6 +335,14 @@ SELECT status, CAST(sum(CAST(line_number AS DECIMAL(18,0)) * CAST(0.0000001 AS D
 FROM sales GROUP BY status""",
     "report_set_recent": _report_set("180 DAY", " LIMIT 5"),
     "report_set_complete": _report_set("6 MONTH", ""),
+    "loads_run_twice": _FILL_DETAILS + _SELECT_DETAILS,
+    "reports_after_loads": _AFTER_LOADS,
+    "monthly_revenue_stored": _FILL_DETAILS + _monthly(" AND order_date >= (SELECT max(order_date) FROM details) - INTERVAL 180 DAY"),
+    "csv_rejects": _REJECTS,
+    "csv_accepted": f"WITH {_DIRTY}\nSELECT * FROM orders_dirty WHERE {_FITS}",
+    "dq_quarantine": _audit(named=True),
+    "order_details_one_per_key": _FILL_DETAILS + _SELECT_DETAILS,
+    "order_details_bucketed": _FILL_DETAILS + _SELECT_DETAILS,
     "csv_roundtrip": _FILL_DETAILS + _SELECT_DETAILS,
     "table_roundtrip": _FILL_DETAILS + _SELECT_DETAILS,
     "table_append": f"{_FILL_DETAILS}SELECT {_ALL_COLUMNS} FROM details UNION ALL SELECT {_ALL_COLUMNS} FROM details",
