@@ -135,7 +135,8 @@ def train(docs: DataFrame, per_lang: int = 4_000, text_col: str = "text", lang_c
                 # Whole numbers add up alike in any order, so the profiles do not depend on the partitions.
                 whole = np.rint(units[langs == lang] * 2**20).astype(np.int64)
                 sums[lang] = sums.get(lang, 0) + whole.sum(axis=0)
-        yield pd.DataFrame({"lang": list(sums), "part": list(sums.values())})
+        if sums:  # a task may have no row
+            yield pd.DataFrame({"lang": list(sums), "part": list(sums.values())})
 
     parts = sample.mapInPandas(bundle, "lang string, part array<bigint>")
     summed = (
