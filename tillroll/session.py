@@ -21,6 +21,7 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+_CODE = "code"
 _local_dir: tempfile.TemporaryDirectory | None = None
 _databases: dict[str, list[str]] = {}
 _shipped: set[str] = set()
@@ -104,12 +105,16 @@ def remove(spark: SparkSession, path: str) -> None:
 def cleanup(spark: SparkSession) -> None:
     """Drop the databases made with ``new_database`` and delete all this application has staged.
 
-    Call it when no result that was returned is read any more.
+    Call it when no result that was returned is read any more. What ``ship`` has sent stays, as
+    executors that start later fetch it.
     """
     for database in _databases.pop(spark.sparkContext.applicationId, []):
         spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
-    remove(spark, _own_root(spark))
-    _shipped.discard(spark.sparkContext.applicationId)
+    root = spark._jvm.org.apache.hadoop.fs.Path(_own_root(spark))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.listStatus(root) if files.exists(root) else []:
+        if not found.getPath().getName().startswith(f"{_CODE}-"):
+            files.delete(found.getPath(), True)
 
 
 def new_database(spark: SparkSession) -> tuple[str, str]:
@@ -135,7 +140,7 @@ def ship(spark: SparkSession) -> None:
             for file in sorted(package.rglob("*.py")):
                 packed.write(file, file.relative_to(package.parent))
         # Spark reads the file once more when an executor asks for it, so it is kept in the shared folder.
-        target = new_folder(spark, "code") + f"/{archive.name}"
+        target = new_folder(spark, _CODE) + f"/{archive.name}"
         path = spark._jvm.org.apache.hadoop.fs.Path
         files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
         files.copyFromLocalFile(path(f"file://{archive}"), path(target))
