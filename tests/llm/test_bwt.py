@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -100,3 +101,54 @@ def test_every_string_has_one_anchor():
     place, _, first, last = bwt.anchors(data)
     assert first[0] == 0 and last[-1] == len(data) - bwt.LENGTH and (first[1:] == last[:-1] + 1).all()
     assert ((place >= last) & (place <= first + bwt.LENGTH - bwt.KMER)).all()
+
+
+def test_texts_of_one_checksum_and_no_id_are_told_apart(docs):
+    """Two texts of different length that share a CRC32; only one of them has a passage that repeats."""
+    draw = random.Random(3)
+    passage = "".join(draw.choices("abcdefgh ", k=500))
+    long = passage + " end"
+    target = zlib.crc32(long.encode())
+    short = with_checksum(b"short", target)
+    assert zlib.crc32(short.encode()) == target and short != long
+    rows = [(None, long), (None, short), (1, "x" * 30 + passage)]
+    assert result(bwt.removed(docs(rows))) == expected(rows)
+
+
+def with_checksum(start: bytes, target: int) -> str:
+    """``start`` and eight printable characters whose CRC32 is ``target``."""
+    draw = random.Random(1)
+    chars = [chr(c) for c in range(48, 123)]
+    seen = {}
+    # Half of the characters forwards, half backwards: both ends meet at one state.
+    steps = [0] * 256
+    for b in range(256):
+        c = b
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        steps[b] = c
+    back = {steps[b] >> 24: b for b in range(256)}
+    state = zlib.crc32(start) ^ 0xFFFFFFFF
+    for _ in range(300_000):
+        half = "".join(draw.choices(chars, k=4))
+        s = state
+        for ch in half:
+            s = s >> 8 ^ steps[(s ^ ord(ch)) & 255]
+        seen[s] = half
+    while True:
+        half = "".join(draw.choices(chars, k=4))
+        s = target ^ 0xFFFFFFFF
+        for ch in reversed(half):
+            b = back[s >> 24]
+            s = ((s ^ steps[b]) << 8 & 0xFFFFFFFF) | (b ^ ord(ch))
+        if s in seen:
+            return start.decode() + seen[s] + half
+
+
+def test_spans_of_copies_without_an_id_are_kept_once(docs):
+    passage = "".join(random.Random(5).choices("abcdefgh ", k=600))
+    rows = [(None, passage)] * 40 + [(1, passage + "!")]
+    df = docs(rows)
+    assert result(bwt.removed(df)) == expected(rows)
+    listed = bwt.spans(df.selectExpr("coalesce(doc_id, -1) AS id", "unhex(md5(text)) AS tie", "text")).collect()
+    assert all(len(r.spans) == len({(s.at, s.mask) for s in r.spans}) for r in listed)

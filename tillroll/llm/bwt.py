@@ -109,7 +109,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
                 ids = [batch.column(name).take(pa.array(rows)) for name in ("id", "tie")]
                 yield pa.RecordBatch.from_arrays([*ids, *map(pa.array, columns)], names)
 
-    schema = "id bigint, tie bigint, place bigint, first bigint, last bigint, kmer bigint, whole bigint"
+    schema = "id bigint, tie binary, place bigint, first bigint, last bigint, kmer bigint, whole bigint"
     names = [column.split()[0] for column in schema.split(", ")]
     return docs.mapInArrow(run, schema)
 
@@ -124,7 +124,7 @@ def _packed(docs: DataFrame) -> DataFrame:
             columns = [batch.column("id"), batch.column("tie"), pa.array(data, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "tie", "data"])
 
-    return docs.mapInArrow(run, "id bigint, tie bigint, data binary")
+    return docs.mapInArrow(run, "id bigint, tie binary, data binary")
 
 
 def _unpacked(data: bytes) -> bytes:
@@ -160,8 +160,8 @@ def _rows(wanted: DataFrame) -> DataFrame:
                 columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    schema = "one bigint, two bigint, left binary, right binary, id bigint, tie bigint, base bigint"
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
+    schema = "one bigint, two bigint, left binary, right binary, id bigint, tie binary, base bigint"
     names = [column.split()[0] for column in schema.split(", ")]
     return wanted.mapInArrow(run, schema)
 
@@ -325,7 +325,8 @@ def spans(docs: DataFrame) -> DataFrame:
         "id", "tie", F.col("base").alias("at"), "mask"
     )
     every = same.union(differing)
-    return every.groupBy("id", "tie").agg(F.collect_list(F.struct("at", "mask")).alias("spans"))
+    # Rows that repeat id and text have the same spans, which are kept once.
+    return every.groupBy("id", "tie").agg(F.collect_set(F.struct("at", "mask")).alias("spans"))
 
 
 def covered(found: list[dict] | None, size: int) -> np.ndarray:
@@ -351,7 +352,9 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     a character.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.crc32(text).alias("tie"), text.alias("text"))
+    # Texts of one id, or of none, are told apart by 128 bits.
+    tie = F.unhex(F.md5(text)).alias("tie")
+    docs = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), tie, text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
