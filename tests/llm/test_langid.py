@@ -78,3 +78,29 @@ def test_lettered_rows_stay_without_profiles(docs, odd_rows):
     nothing = langid.train(docs([(1, "abc", None, "web", 3)]))
     kept = langid.known(docs(odd_rows), nothing)
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r in odd_rows if r[0] not in (1, 2, 3))
+
+
+def test_tasks_without_rows(spark, docs):
+    df = docs([(1, "the quick brown fox jumps over the lazy dog")]).repartition(7)
+    profiles = langid.train(df)
+    assert profiles.langs == ("en",)
+    assert [r.lang_pred for r in langid.detect(df, profiles).collect()] == ["en"]
+
+
+def test_known_compares_with_the_profiles(docs):
+    rows = [(1, "the quick brown fox"), (2, "brown"), (3, None), (4, "12 34 .."), (5, "zzz qqq xxx"), (6, "")]
+    profiles = langid.train(docs(rows[:1]))
+    df = docs(rows, clash=True)
+    kept = langid.known(df, profiles)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 5]
+    assert sorted(r.doc_id for r in langid.known(df, profiles, least=0.9).collect()) == [1]
+    nothing = langid.Profiles((), np.zeros((0, langid.DIM), np.float32))
+    assert sorted(r.doc_id for r in langid.known(df, nothing).collect()) == [1, 2, 5]
+
+
+def test_too_many_languages_raise(docs, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGS", 2)
+    rows = [(i, "some words", lang, "web", 1) for i, lang in enumerate(["a", "b", "c"])]
+    assert langid.train(docs(rows[:2])).langs == ("a", "b")
+    with pytest.raises(ValueError):
+        langid.train(docs(rows))

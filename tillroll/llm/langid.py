@@ -24,6 +24,10 @@ SEED = 20_011
 #: Characters and texts handled together in a task; longer texts are read piece by piece.
 CHUNK_CHARS, CHUNK_TEXTS = 1 << 19, 256
 UNKNOWN = "und"
+#: Least cosine with the nearest profile: three standard deviations below that of unrelated texts.
+LEAST = -3 / DIM**0.5
+#: Languages that a model can have; their sums are what reaches the driver.
+MOST_LANGS = 1_000
 
 
 @dataclass(frozen=True)
@@ -119,10 +123,13 @@ def train(docs: DataFrame, per_lang: int = 4_000, text_col: str = "text", lang_c
 
     The sample follows a hash of the text, so a run on the same rows draws the same texts.
     Rows without a language, or without letters, add nothing. Only the summed vectors, one
-    per language, reach the driver; the number of languages is taken to be small.
+    per language, reach the driver; more than MOST_LANGS languages raise.
     """
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL")
     share = rows.groupBy("lang").agg((F.lit(float(per_lang)) / F.count(F.lit(1))).alias("share"))
+    share = docs.sparkSession.createDataFrame(share.limit(MOST_LANGS + 1).collect(), share.schema)
+    if share.count() > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
     drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
     sample = rows.join(F.broadcast(share), "lang").filter(drawn).select("lang", "text")
 
@@ -177,15 +184,20 @@ def detect(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col
     return rows.mapInPandas(predict, f"doc_id {kind}, lang_pred string, score double")
 
 
-def known(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is not ``und``: those with a letter.
+def known(docs: DataFrame, profiles: Profiles, text_col: str = "text", least: float = LEAST) -> DataFrame:
+    """The rows of ``docs``, all columns, that are like some language: a cosine with its profile of at least ``least``.
 
-    Some profile is the nearest for every text with a letter, so none is compared with the
-    profiles; without profiles texts with a letter stay as well. One pass over the texts: the rows themselves go through the scoring, so nothing is joined.
+    Null and letterless texts go. Two unrelated vectors have a cosine of 0, give or take 1 / sqrt(DIM), so by default
+    only what points away from all languages goes, and one short word stays. Without profiles all texts
+    with a letter stay. The rows themselves go through the scoring, so nothing is joined.
     """
+
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lettered = vectors(batch.column(text_col).to_pylist()).any(axis=1)
-            yield batch.filter(pa.array(lettered))
+            units = _units(vectors(batch.column(text_col).to_pylist()))
+            like = units.any(axis=1)
+            if profiles.langs:
+                like &= (units @ profiles.vectors.T).max(axis=1) >= least
+            yield batch.filter(pa.array(like))
 
     return docs.mapInArrow(keep, docs.schema)
