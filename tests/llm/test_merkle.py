@@ -6,6 +6,17 @@ import random
 from tillroll.llm import merkle
 
 
+def starts(data):
+    """Each line with its break, and where it begins."""
+    out, at = [], 0
+    for line in data.split(b"\n"):
+        out.append((at, line + b"\n"))
+        at += len(line) + 1
+    if out:
+        out[-1] = (out[-1][0], out[-1][1][:-1])
+    return [(at, line) for at, line in out if line]
+
+
 def test_compared_follows_plain_python(docs, odd_rows, random_texts):
     rows = [row for row in odd_rows if row[0] not in (8, None)] + [(100 - 7 * i, t) for i, t in enumerate(random_texts, 20)]
     rows.sort()
@@ -22,6 +33,9 @@ def test_compared_follows_plain_python(docs, odd_rows, random_texts):
         assert 0 <= row.near_edited <= 1 and 0 <= row.near_next <= 1
         if text == after:
             assert row.near_next == 1
+        new = [(at, line) for at, line in starts(edited.encode()) if line not in set(line for _, line in starts(text.encode()))]
+        assert row.changed_paragraphs == len(new)
+        assert row.changed_bytes == sum(len(line) for _, line in new) and row.first_change == (new[0][0] if new else None)
 
 
 def test_repeated_ids_missing_ids_and_small_tables(docs, odd_rows):

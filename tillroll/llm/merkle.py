@@ -52,6 +52,30 @@ def tree(text: str | None) -> tuple[bytes, list[tuple[bytes, list[tuple[bytes, i
     return xxh3_128_digest(b"root" + b"".join(d for d, _ in sections)), sections
 
 
+def located(before: tuple, after: tuple) -> list[tuple[int, int]]:
+    """Start and size in bytes of the paragraphs of one tree that another one has not.
+
+    Only differing branches are entered: equal roots end it, sections that the other tree has
+    are passed over as a whole, and paragraphs are compared in what is left.
+    """
+    if before[0] == after[0]:
+        return []
+    sections = {digest for digest, _ in before[1]}
+    lines: set[bytes] | None = None
+    out, start = [], 0
+    for digest, section in after[1]:
+        if digest in sections:
+            start += sum(size for _, size in section)
+            continue
+        if lines is None:
+            lines = {line for _, old in before[1] for line, _ in old}
+        for line, size in section:
+            if line not in lines:
+                out.append((start, size))
+            start += size
+    return out
+
+
 def _leaves(data: bytes) -> tuple[int, np.ndarray]:
     """How many runs a text has, and their lowest digests; a run that is there again has another digest."""
     words = data.split()
@@ -71,9 +95,9 @@ def _leaves(data: bytes) -> tuple[int, np.ndarray]:
     return len(runs), np.sort(digests)
 
 
-def fingerprint(text: str | None) -> str:
-    """Root in hexadecimal, number of leaves and the lowest of them; null is an empty text."""
-    root, _ = tree(text)
+def fingerprint(text: str | None, of: tuple | None = None) -> str:
+    """Root in hexadecimal, number of leaves and the lowest of them; null is an empty text. ``of`` may give its tree."""
+    root, _ = of or tree(text)
     count, digests = _leaves((text or "").encode("utf-8", "replace"))
     packed = digests.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - BYTES :].tobytes()
     return f"{root.hex()}:{count}:{base64.b64encode(packed).decode()}"
@@ -193,25 +217,31 @@ def compared(docs: DataFrame, tasks: int | None = None, id_col: str = "doc_id",
     """Fingerprints of every text and of its edited text: the last quarter (rounded down) of its
     code points replaced by as many of the next document's first ones, or all it has.
 
-    Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and
-    near_next. Null texts are empty. The next document is the next row by ascending id,
+    Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
+    near_next, and where the two trees differ: changed_paragraphs and changed_bytes of the edited
+    text, and first_change, the byte at which the first of them begins (null if none does, as where
+    paragraphs are only left out). Null texts are empty. The next document is the next row by ascending id,
     after the last the first; a table of one row follows itself.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the row before, its range and fingerprint
+        held = None  # the row before, its range, tree and fingerprint
         for batch in batches:
             out = []
             for place, doc, text, extra in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 text = text or ""
-                own = fingerprint(text)
+                own_tree = tree(text)
+                own = fingerprint(text, own_tree)
                 if held and held[0] == place:
-                    _, before, shown, mark = held
+                    _, before, shown, mark, shown_tree = held
                     quarter = len(shown) // 4
                     edited = shown[: len(shown) - quarter] + text[:quarter]
-                    edited_mark = fingerprint(edited)
+                    edited_tree = tree(edited)
+                    edited_mark = fingerprint(edited, edited_tree)
+                    changed = located(shown_tree, edited_tree)
+                    found = (len(changed), sum(size for _, size in changed), changed[0][0] if changed else None)
                     digest = sha256(edited.encode("utf-8", "replace")).hexdigest()
-                    out.append((before, len(shown), digest, mark, edited_mark, likeness(mark, edited_mark), likeness(mark, own)))
-                held = None if extra else (place, doc, text, own)
+                    out.append((before, len(shown), digest, mark, edited_mark, likeness(mark, edited_mark), likeness(mark, own), *found))
+                held = None if extra else (place, doc, text, own, own_tree)
             if out:
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
@@ -225,8 +255,12 @@ def compared(docs: DataFrame, tasks: int | None = None, id_col: str = "doc_id",
             ("edited_fingerprint", pa.string()),
             ("near_edited", pa.float64()),
             ("near_next", pa.float64()),
+            ("changed_paragraphs", pa.int64()),
+            ("changed_bytes", pa.int64()),
+            ("first_change", pa.int64()),
         ]
     )
     tasks = tasks or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema += ", changed_paragraphs bigint, changed_bytes bigint, first_change bigint"
     return with_next(docs, tasks, id_col, text_col).mapInArrow(run, schema)
