@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -106,3 +108,39 @@ def test_components(spark):
     got = links.components(spark.createDataFrame(sorted(pairs), "a bigint, b bigint")).collect()
     assert sorted((r.id, r.component) for r in got) == sorted((x, find(x)) for x in root)
     assert links.components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_candidates_grow_with_the_group(docs, monkeypatch):
+    """Near copies that each have edits of their own: most are not alike, and do not leave the join as pairs."""
+    counts = []
+    whole = links.confirmed
+
+    def counted(pairs, sets, percent):
+        counts[-1].append(pairs.count())
+        return whole(pairs, sets, percent)
+
+    monkeypatch.setattr(links, "confirmed", counted)
+    for size in (150, 300):
+        counts.append([])
+        draw = random.Random(size)
+        rows = []
+        for i in range(size):
+            words = [f"w{k}" for k in range(100)]
+            for place in draw.sample(range(100), 3):
+                words[place] = f"edit{i}x{place}"
+            rows.append((i, " ".join(words)))
+        assert result(bbit.near(docs(rows))) == expected(rows)
+    few, many = counts
+    assert sum(many) <= 3 * sum(few) and many[-1] < 300 * 299 / 2 / 20
+
+
+def test_sketches_bound_the_difference():
+    draw = np.random.default_rng(4)
+    sets = [np.unique(draw.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 5, 300, 2_000)]
+    sets += [np.concatenate([s[: len(s) * 9 // 10], draw.integers(0, 2**63, len(s) // 10 + 1).astype(np.uint64)]) for s in sets]
+    sizes = np.array([len(s) for s in sets])
+    rows = shingles.odd_sketches(np.concatenate(sets), sizes, bbit.SKETCH)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            unequal = sum(int(x).bit_count() for x in rows[i] ^ rows[j])
+            assert unequal <= len(set(a.tolist()) ^ set(b.tolist())) and (i != j or unequal == 0)

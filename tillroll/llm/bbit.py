@@ -19,10 +19,12 @@ MINIMA, WIDTH, SEED = 128, 4, 7
 BITS = 1
 #: Pairs whose estimate is this far below the threshold are not compared: five standard deviations.
 MARGIN = 0.3
+#: Bits of the sketch that bounds in how many shingles two sets differ, and turns in which buckets meet one centre.
+SKETCH, CENTRED = 1024, 1
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """id, n, two values of the set's identity, band keys and packed low bits of (id, text)."""
+    """id, n, two values of the set's identity, band keys, packed low bits and the odd sketch of (id, text)."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -32,6 +34,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 low = shingles.minima(grams, sizes, MINIMA, SEED)
                 keys = shingles.band_keys(low, WIDTH)
                 one, two = shingles.identity(grams, sizes)
+                odd = shingles.odd_sketches(grams, sizes, SKETCH)
                 some = np.where(sizes > 0, 1, 0)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -41,11 +44,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                         pa.array(two),
                         shingles.lists(keys[sizes > 0].ravel(), some * keys.shape[1]),
                         shingles.lists(packed(low[sizes > 0]).ravel(), some * (MINIMA * BITS // 64)),
+                        shingles.lists(odd[sizes > 0].ravel(), some * (SKETCH // 64)),
                     ],
-                    ["id", "n", "one", "two", "bands", "bits"],
+                    ["id", "n", "one", "two", "bands", "bits", "odd"],
                 )
 
-    schema = "id bigint, n bigint, one bigint, two bigint, bands array<bigint>, bits array<bigint>"
+    schema = "id bigint, n bigint, one bigint, two bigint, bands array<bigint>, bits array<bigint>, odd array<bigint>"
     return docs.mapInArrow(run, schema)
 
 
@@ -72,6 +76,16 @@ def estimate(a: Column, b: Column) -> Column:
     return (1 - unequal / MINIMA - by_chance) / (1 - by_chance)
 
 
+def possible(a: Column, b: Column, percent: int, bits: int = SKETCH) -> Column:
+    """Whether two sets can have so much in common: false only if their sizes or sketches rule it out.
+
+    Sets of similarity s differ in (1 - s) / (1 + s) of their sizes' sum.
+    """
+    unequal = sum((F.bit_count(a["odd"][i].bitwiseXOR(b["odd"][i])) for i in range(bits // 64)), F.lit(0))
+    sizes = percent * F.greatest(a["n"], b["n"]) <= 100 * F.least(a["n"], b["n"])
+    return sizes & ((100 + percent) * unequal <= (100 - percent) * (a["n"] + b["n"]))
+
+
 def whole_sets(docs: DataFrame) -> DataFrame:
     """id and grams (hashes of all distinct shingles) of (id, text)."""
 
@@ -112,7 +126,10 @@ def near(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: s
     def likely(a: Column, b: Column) -> Column:
         return estimate(a["bits"], b["bits"]) >= percent / 100 - MARGIN
 
-    found = links.clusters(buckets, sets_of, percent, likely)
+    def can_be(a: Column, b: Column) -> Column:
+        return possible(a, b, percent)
+
+    found = links.clusters(buckets, sets_of, percent, likely, CENTRED, distinct.select("id", "n", "odd"), can_be)
     names = firsts.join(found.withColumnRenamed("id", "first"), "first", "left")
     names = names.select("n", "one", "two", F.coalesce("component", "first").alias("named"))
     joined = signed.join(names, ["n", "one", "two"], "left")

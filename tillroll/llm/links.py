@@ -60,12 +60,19 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def clusters(
-    buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, likely: Likely, centred: int = 1
+    buckets: DataFrame,
+    sets_of: Callable[[DataFrame], DataFrame],
+    percent: int,
+    likely: Likely,
+    centred: int = 1,
+    sketches: DataFrame | None = None,
+    possible: Likely | None = None,
+    about: DataFrame | None = None,
 ) -> DataFrame:
     """id and component for all ids that are linked with another one.
 
-    ``buckets`` has key, id and what ``likely`` needs of an id: ids that share a key are
-    candidates. Its rows are distinct, and it is computed twice, so a caller whose buckets are
+    ``buckets`` has key, id and what ``likely`` needs of an id, unless ``about`` has that by id: ids that
+    share a key are candidates. ``about`` may also say by doc and number where ``sets_of`` finds an id. Its rows are distinct, and it is computed twice, so a caller whose buckets are
     costly writes them first. ``sets_of`` takes a DataFrame of ids and gives their id and
     grams. ``likely`` tells of two structs of a row's columns whether their whole sets are
     worth comparing.
@@ -75,7 +82,8 @@ def clusters(
     holds several components, its rows meet one that a hash chooses from bucket to bucket,
     ``centred`` times. Only
     ids of different components that are left in one bucket are then compared with each
-    other, and only likely pairs leave that join. No candidate is dropped.
+    other, and only likely pairs leave that join. No candidate is dropped. Where there are
+    ``sketches`` (id and more), pairs that ``possible`` rules out by theirs do not leave it either.
     """
     with ExitStack() as stack:
 
@@ -85,9 +93,11 @@ def clusters(
 
         # Written first: the join is then between two plain shuffles, of which a hot key's part can be split.
         shared = kept(buckets.groupBy("key").count().filter("count > 1").select("key"), "shared-keys")
-        rows = kept(buckets.join(shared, "key"), "shared-buckets")
-        row = F.struct("id", *[c for c in rows.columns if c not in ("key", "id")])
-        sets = kept(sets_of(rows.select("id").distinct()), "sets")
+        rows = buckets.join(shared, "key")
+        rows = kept(rows if about is None else rows.join(about, "id"), "shared-buckets")
+        place = [c for c in ("doc", "number") if c in rows.columns]
+        row = F.struct("id", *[c for c in rows.columns if c not in ("key", "id", *place)])
+        sets = kept(sets_of(rows.select("id", *place).distinct()), "sets")
         centres = kept(rows.groupBy("key").agg(F.min(row).alias("a")), "centres")
         met = rows.select("key", row.alias("b")).join(centres, "key").filter(F.col("a.id") < F.col("b.id"))
         met = met.filter(likely(F.col("a"), F.col("b"))).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
@@ -111,9 +121,16 @@ def clusters(
                 met = rest.filter((F.col("component") != F.col("centre.component")) & likely(x, y))
             else:
                 x, y = F.col("row"), F.col("other")
-                other = rest.select(F.col("key").alias("k"), F.col("row").alias("other"), F.col("component").alias("c"))
+                pairs_like = likely(x, y)
+                if sketches is not None:
+                    about = sketches.select(F.col("id").alias("its_id"), F.struct(*sketches.columns).alias("sketch"))
+                    rest = rest.join(about, F.col("row.id") == F.col("its_id")).drop("its_id")
+                    pairs_like = pairs_like & possible(F.col("sketch"), F.col("other_sketch"))
+                rest = kept(rest, "open-rows")
+                names = {"key": "k", "row": "other", "component": "c", "sketch": "other_sketch"}
+                other = rest.select(*[F.col(c).alias(names[c]) for c in rest.columns])
                 unlike = (F.col("key") == F.col("k")) & (F.col("component") < F.col("c"))
-                met = rest.join(other, unlike & likely(x, y))
+                met = rest.join(other, unlike & pairs_like)
             ids = x["id"], y["id"]
             pairs = met.select(F.least(*ids).alias("a"), F.greatest(*ids).alias("b")).distinct()
             edges = kept(edges.union(confirmed(pairs, sets, percent)).distinct(), "links")

@@ -110,6 +110,22 @@ def minima(grams: np.ndarray, sizes: np.ndarray, many: int, seed: int) -> np.nda
     return out
 
 
+def odd_sketches(grams: np.ndarray, sizes: np.ndarray, bits: int) -> np.ndarray:
+    """A row of 64-bit words per set: bit k tells whether an odd number of its shingles falls on k.
+
+    Two sets differ in at least as many shingles as their rows differ in bits.
+    """
+    out = np.zeros((len(sizes), bits // 64), np.uint64)
+    ends = np.cumsum(sizes)
+    for first in range(0, len(sizes), 1024):
+        part = sizes[first : first + 1024]
+        own = grams[ends[first] - sizes[first] : ends[first + len(part) - 1]]
+        places = np.repeat(np.arange(len(part)), part) * bits + (own % np.uint64(bits)).astype(np.int64)
+        odd = (np.bincount(places, minlength=len(part) * bits) & 1).astype(np.uint8).reshape(len(part), bits)
+        out[first : first + len(part)] = np.packbits(odd, axis=1, bitorder="little").view(np.uint64)
+    return out
+
+
 def band_keys(rows: np.ndarray, width: int) -> np.ndarray:
     """One 64-bit key per band of ``width`` minima."""
     count, many = rows.shape
