@@ -12,6 +12,7 @@ gain is 0 and that of any other minus infinity. Results equal those of the sente
 
 from __future__ import annotations
 
+import collections
 import itertools
 import re
 from collections import defaultdict
@@ -75,13 +76,7 @@ class Model:
         self.powers = np.array(powers, np.uint64)
         if len(np.unique(hashes)) < len(hashes):
             raise ValueError("two pieces share a hash")
-        lengths = np.array([len(piece) for piece in self.ids])
-        ids = np.array(list(self.ids.values()), np.int32)
-        self.keys = []  # by length of the piece: sorted hashes and their ids
-        for length in range(self.longest + 1):
-            order = np.flatnonzero(lengths == length)
-            order = order[np.argsort(hashes[order])]
-            self.keys.append((hashes[order], ids[order]))
+        self.keys = self._ends()
         self.pair_keys = np.full(PAIR_SLOTS, -1, np.int64)
         self.pair_fits = np.zeros(PAIR_SLOTS, bool)
         surface = [self._surface(i) for i in range(len(self.pieces))]
@@ -89,6 +84,25 @@ class Model:
         self.surface_lengths = np.array([len(s) for s in surface], np.int64)
         self.surface_starts = np.cumsum(self.surface_lengths) - self.surface_lengths
 
+    def _ends(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By length: sorted hashes of all ends of pieces, and the piece that is just that end, or -1."""
+        hashes = [[np.zeros(0, np.uint64)] for _ in range(self.longest + 1)]
+        ids = [[np.zeros(0, np.int32)] for _ in range(self.longest + 1)]
+        for length in range(1, self.longest + 1):
+            group = [(piece, i) for piece, i in self.ids.items() if len(piece) == length]
+            codes = np.frombuffer("".join(piece for piece, _ in group).encode("utf-32-le"), np.uint32).reshape(-1, length)
+            prefix = _prefix_hashes(codes)
+            for size in range(1, length + 1):
+                hashes[size].append(prefix[length] - prefix[length - size] * self.powers[size])
+                own = [i for _, i in group] if size == length else [-1] * len(group)
+                ids[size].append(np.array(own, np.int32))
+        out = []
+        for h, i in zip(map(np.concatenate, hashes), map(np.concatenate, ids), strict=True):
+            order = np.lexsort((i, h))
+            last = np.append(h[order][1:] != h[order][:-1], True)[: len(h)]
+            out.append((h[order][last], i[order][last]))
+        return out
+
     def _surface(self, i: int) -> bytes:
         if i == self.unk:
             return " ⁇ ".encode()
@@ -133,14 +147,15 @@ class Model:
             self.pair_fits[slots[first[one]]] = answers[one]
         return out
 
-    def probe(self, hashes: np.ndarray, length: int) -> np.ndarray:
-        """Ids of the pieces of that length with the given hashes, -1 where there is none."""
+    def probe(self, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are those of ends of pieces, and for these the ids of the pieces, -1 for proper ends."""
         keys, ids = self.keys[length]
         if not len(keys):
-            return np.full(len(hashes), -1, np.int32)
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
         at = np.searchsorted(keys, hashes)
         at[at == len(keys)] = 0
-        return np.where(keys[at] == hashes, ids[at], -1)
+        known = np.flatnonzero(keys[at] == hashes)
+        return known, ids[at[known]]
 
 
 def _string_hash(text: str) -> np.uint64:
@@ -150,6 +165,14 @@ def _string_hash(text: str) -> np.uint64:
     return value
 
 
+def _prefix_hashes(codes: np.ndarray) -> np.ndarray:
+    """Hashes of the first 0, 1, ... code points of each row."""
+    prefix = np.zeros((codes.shape[1] + 1, len(codes)), np.uint64)
+    for j in range(codes.shape[1]):
+        prefix[j + 1] = prefix[j] * BASE + (codes[:, j].astype(np.uint64) + np.uint64(1))
+    return prefix
+
+
 def _lattice(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best paths of words of one length, a row of code points each.
 
@@ -157,19 +180,29 @@ def _lattice(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     an unknown character) and how many steps each word has.
     """
     words, length = codes.shape
-    prefix = np.zeros((length + 1, words), np.uint64)
-    for j in range(length):
-        prefix[j + 1] = prefix[j] * BASE + (codes[:, j].astype(np.uint64) + np.uint64(1))
+    prefix = _prefix_hashes(codes)
     best = np.full((length + 1, words), -np.inf, np.float32)
     best[0] = 0
     step = np.zeros((length + 1, words), np.int64)  # what ends here
     back = np.zeros((length + 1, words), np.int32)
     last = np.full((length + 1, words), -1, np.int32)  # the piece ending here, -1 at starts and after unknowns
     for j in range(1, length + 1):
-        for size in range(min(model.longest, j), 0, -1):
+        # From the shortest on: where no piece ends alike, longer ones do not either.
+        alive, found = np.arange(words), []
+        unknown = np.ones(words, bool)
+        for size in range(1, min(model.longest, j) + 1):
+            known, piece = model.probe(prefix[j][alive] - prefix[j - size][alive] * model.powers[size], size)
+            alive = alive[known]
+            if not len(alive):
+                break
+            whole = piece >= 0
+            found.append((size, alive[whole], piece[whole]))
+            if size == 1:
+                unknown[alive[whole]] = False
+        for size, rows, ids in reversed(found):
             i = j - size
-            piece = model.probe(prefix[j] - prefix[i] * model.powers[size], size)
-            rows = np.flatnonzero(piece >= 0)
+            piece = np.zeros(words, np.int32)
+            piece[rows] = ids
             if model.bpe:
                 rows = rows[best[j][rows] == -np.inf]
                 rows = rows[model.all_fit(last[i][rows], piece[rows])]
@@ -179,12 +212,13 @@ def _lattice(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             better = value > best[j][rows]
             rows, value = rows[better], value[better]
             best[j, rows], back[j, rows], last[j, rows], step[j, rows] = value, i, piece[rows], piece[rows]
-            if size == 1:
-                rows = np.flatnonzero(piece < 0)
-                value = np.zeros(len(rows), np.float32) if model.bpe else best[i][rows] + np.float32(model.unk_score)
-                better = value > best[j][rows]
-                rows, value = rows[better], value[better]
-                best[j, rows], back[j, rows], last[j, rows], step[j, rows] = value, i, -1, -1 - codes[rows, j - 1].astype(np.int64)
+        rows = np.flatnonzero(unknown)
+        if len(rows):
+            i = j - 1
+            value = np.zeros(len(rows), np.float32) if model.bpe else best[i][rows] + np.float32(model.unk_score)
+            better = value > best[j][rows]
+            rows, value = rows[better], value[better]
+            best[j, rows], back[j, rows], last[j, rows], step[j, rows] = value, i, -1, -1 - codes[rows, j - 1].astype(np.int64)
     # Follow the backpointers of all words at once, from the right.
     path = np.zeros((words, length), np.int64)
     counts = np.zeros(words, np.int64)
@@ -280,10 +314,17 @@ class Encoder:
         # Behind U+0000 a word is kept as it is, also one that begins with U+0000 after its space.
         return [word[1:] if word[0] == SPACE and word[1:2] != "\0" else "\0" + word for word in found]
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in order, and how many each text has."""
+    def prepare(self, slices: Iterator[list[str | None]]) -> None:
+        """Learn the new words of several lists of texts together, so that many have the same length."""
         if len(self.index) > KEPT_WORDS:
             self._clear()
+        for texts in slices:
+            for text in texts:
+                collections.deque(map(self.index.__getitem__, self._split(text)), 0)
+        self._learn(list(itertools.islice(self.index, len(self.counts), None)))
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in order, and how many each text has."""
         words = [self._split(text) for text in texts]
         per_text = [len(found) for found in words]
         uses = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(words)), np.int64, sum(per_text))
@@ -378,6 +419,7 @@ def encode(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(data)
         for batch in batches:
+            encoder.prepare(_texts(batch))
             for first, end in _slices(_sizes(batch), BATCH_CHARS):
                 ids, counts = encoder.encode(batch.column("text").slice(first, end - first).to_pylist())
                 ids_of = batch.column("doc_id").slice(first, end - first)
@@ -411,6 +453,12 @@ def decode(tokens: DataFrame, data: bytes) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[list[str | None]]:
+    """The texts of a batch, slice by slice."""
+    for first, end in _slices(_sizes(batch), BATCH_CHARS):
+        yield batch.column("text").slice(first, end - first).to_pylist()
+
+
 def round_trip(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids, and round_trip: whether the decoded ids are the text (null: empty) again.
 
@@ -420,6 +468,7 @@ def round_trip(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(data)
         for batch in batches:
+            encoder.prepare(_texts(batch))
             for first, end in _slices(_sizes(batch), BATCH_CHARS):
                 texts = batch.column("text").slice(first, end - first).to_pylist()
                 ids, counts = encoder.encode(texts)
