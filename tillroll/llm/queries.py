@@ -264,6 +264,30 @@ ORACLES = {
         SELECT doc_id, source, size, source_size, target,
                (size * (repeats + (CASE WHEN upto <= budget OR 2 * (budget - (upto - tied)) >= tied THEN 1 ELSE 0 END)))::BIGINT AS taken
         FROM placed""",
+    "op7_near_dedup": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                   ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i : i + 4], ' '))) END AS grams
+            FROM split
+        ), grams AS (
+            SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets
+        ), common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, a.n AS a_n, b.n AS b_n, count(*) AS both_have
+            FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM common WHERE 100 * both_have >= 75 * (a_n + b_n - both_have)
+        ), edges AS (
+            SELECT a AS v, b AS w FROM links UNION ALL SELECT b, a FROM links
+        ), reached AS (
+            SELECT doc_id AS v, doc_id AS r FROM sets
+            UNION
+            SELECT edges.w, reached.r FROM reached JOIN edges USING (v)
+        )
+        SELECT doc_id, len(grams)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM sets JOIN (SELECT v AS doc_id, min(r) AS component_id FROM reached GROUP BY v) USING (doc_id)""",
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
