@@ -10,8 +10,8 @@ from tillroll.llm.tables import read
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or unlike every language, go; profiles come from ``docs``."""
-    return langid.known(docs, langid.train(docs))
+    """Documents without a letter, or unlike every language, go; the others get ``lang_pred``. Profiles come from ``docs``."""
+    return langid.known(docs, langid.train(docs), lang_col="lang_pred")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,13 +25,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it; those it takes no word of go."""
-    return mixing.repeated(docs)
+    """Each document as often as the mix of sources takes it, of each language in proportion; those it takes no word of go."""
+    return mixing.repeated(docs, part_col="lang_pred")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether decoding them gives the text back."""
-    return pieces.round_trip(docs, pieces.read_model(spark))
+    """Token ids and recognised language of every document, and whether decoding the ids gives the text back."""
+    return pieces.round_trip(docs, pieces.read_model(spark), carried=("lang_pred",))
 
 
 STAGES = [

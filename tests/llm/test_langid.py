@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.llm import langid
 
@@ -104,3 +105,16 @@ def test_too_many_languages_raise(docs, monkeypatch):
     assert langid.train(docs(rows[:2])).langs == ("a", "b")
     with pytest.raises(ValueError):
         langid.train(docs(rows))
+
+
+def test_known_names_the_nearest_language(docs):
+    profiles = langid.train(docs(texts(1, 200)))
+    rows = docs([*texts(2, 60), (100, None), (101, "12 34")], clash=True)
+    kept = langid.known(rows, profiles, lang_col="lang_pred")
+    assert kept.columns == [*rows.columns, "lang_pred"]
+    want = {r.doc_id: r.lang_pred for r in langid.detect(rows, profiles).collect() if r.lang_pred != "und"}
+    assert {r.doc_id: r.lang_pred for r in kept.collect()} == want and len(want) == 60
+    again = langid.known(kept.withColumnRenamed("lang_pred", "other").withColumn("lang_pred", F.lit("x")), profiles, lang_col="lang_pred")
+    assert {r.doc_id: r.lang_pred for r in again.collect()} == want
+    nothing = langid.Profiles((), np.zeros((0, langid.DIM), np.float32))
+    assert {r.lang_pred for r in langid.known(rows, nothing, lang_col="lang_pred").collect()} == {"und"}

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.llm import mixing
 
@@ -98,3 +99,26 @@ def test_repeated_rows_without_an_id_or_of_one(docs):
             got = 10 * sum(n for (s, _), n in per_row.items() if s == source)
             # Rows that share an id are taken as one; those without an id spread, and the target is met.
             assert abs(got - want) <= (10 if doc is None else size)
+
+
+def test_parts_of_a_source_are_taken_in_proportion(docs):
+    draw = random.Random(5)
+    rows = [(i, "w " * draw.randint(1, 40), draw.choice(["x", "x", "x", "y", None]), draw.choice(["a", "a", "b", None]), 0) for i in range(900)]
+    df = docs([*rows, (1000, "", "z", "a", 0), (1001, None, None, "empty", 0)], clash=True)
+    out = mixing.repeated(df, part_col="lang")
+    assert out.columns == df.columns
+    counts = {}
+    for r in out.collect():
+        counts[r.doc_id] = counts.get(r.doc_id, 0) + 1
+    assert counts[1000] == counts[1001] == 1
+    target = {r.source: r.target for r in mixing.mix(df).collect()}
+    size, taken, most = {}, {}, {}
+    for doc, text, lang, source, _ in rows:
+        n = len(text.split())
+        size[source, lang] = size.get((source, lang), 0) + n
+        taken[source, lang] = taken.get((source, lang), 0) + n * counts.get(doc, 0)
+        most[source, lang] = max(most.get((source, lang), 0), n)
+    of = {s: sum(n for (source, _), n in size.items() if source == s) for s in ("a", "b", None)}
+    assert all(abs(taken[k] - target[k[0]] * n / of[k[0]]) <= most[k] for k, n in size.items())
+    one = mixing.repeated(df.withColumn("lang", F.lit("x")), part_col="lang")
+    assert sorted(str(r.doc_id) for r in one.collect()) == sorted(str(r.doc_id) for r in mixing.repeated(df).collect())

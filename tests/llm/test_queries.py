@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -106,3 +108,28 @@ def test_pipeline_follows_plain_python(spark, docs, tmp_path):
     encoder = pieces.Encoder(pieces.Model(open(pieces.MODEL, "rb").read()))
     texts = {r[0]: r[1] for r in left}
     assert all(r.ids == encoder.encode([texts[r.doc_id]])[0].tolist() for r in got)
+
+
+def test_recognised_language_reaches_the_mix_and_the_result(spark, docs, tmp_path):
+    alphabets = {"xa": "abcdefg", "xb": "stuvwxyz"}
+    draw = random.Random(7)
+    word = lambda lang: "".join(draw.choices(alphabets[lang], k=draw.randint(3, 7)))
+    rows = []
+    for i in range(160):
+        lang = "xb" if i % 4 == 0 else "xa"
+        # The last ones do not say their language.
+        rows.append((i, " ".join(word(lang) for _ in range(draw.randint(20, 40))), lang if i < 120 else None, f"s{i % 3}", 0))
+    docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    spoken = {r[0]: "xb" if r[0] % 4 == 0 else "xa" for r in rows}
+    assert {r.lang_pred for r in got} == {"xa", "xb"} and all(r.lang_pred == spoken[r.doc_id] for r in got)
+    words = {r[0]: len(r[1].split()) for r in rows}
+    for source in range(3):
+        own = [d for d in words if d % 3 == source]
+        share = sum(words[r.doc_id] for r in got if r.doc_id % 3 == source) / sum(words[d] for d in own)
+        for lang in ("xa", "xb"):
+            taken = sum(words[r.doc_id] for r in got if r.doc_id % 3 == source and r.lang_pred == lang)
+            assert abs(taken - share * sum(words[d] for d in own if spoken[d] == lang)) <= 80
+    # Another language ID gives another mix.
+    one = corpus_pipeline.mixed(spark, docs(rows).withColumn("lang_pred", F.lit("xa")), "").collect()
+    assert sorted(r.doc_id for r in one) != sorted(r.doc_id for r in got)

@@ -184,20 +184,30 @@ def detect(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col
     return rows.mapInPandas(predict, f"doc_id {kind}, lang_pred string, score double")
 
 
-def known(docs: DataFrame, profiles: Profiles, text_col: str = "text", least: float = LEAST) -> DataFrame:
+def known(
+    docs: DataFrame, profiles: Profiles, text_col: str = "text", least: float = LEAST, lang_col: str | None = None
+) -> DataFrame:
     """The rows of ``docs``, all columns, that are like some language: a cosine with its profile of at least ``least``.
 
     Null and letterless texts go. Two unrelated vectors have a cosine of 0, give or take 1 / sqrt(DIM), so by default
     only what points away from all languages goes, and one short word stays. Without profiles all texts
-    with a letter stay. The rows themselves go through the scoring, so nothing is joined.
+    with a letter stay. The rows themselves go through the scoring, so nothing is joined. A column ``lang_col``,
+    if named, has the language of the nearest profile, as ``detect`` finds it; it replaces one of that name.
     """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             units = _units(vectors(batch.column(text_col).to_pylist()))
             like = units.any(axis=1)
+            langs = np.full(len(units), UNKNOWN, object)
             if profiles.langs:
-                like &= (units @ profiles.vectors.T).max(axis=1) >= least
+                cosines = units @ profiles.vectors.T
+                like &= cosines.max(axis=1) >= least
+                langs = np.array(profiles.langs, object)[cosines.argmax(axis=1)]
+            if lang_col is not None:
+                columns = [pa.array(langs, pa.string()) if c == lang_col else batch.column(c) for c in schema.names]
+                batch = pa.RecordBatch.from_arrays(columns, schema.names)
             yield batch.filter(pa.array(like))
 
-    return docs.mapInArrow(keep, docs.schema)
+    schema = docs.schema if lang_col is None else docs.withColumn(lang_col, F.lit(None).cast("string")).schema
+    return docs.mapInArrow(keep, schema)

@@ -85,9 +85,15 @@ def _times() -> Column:
     return F.col("repeats") + (F.col("h") < F.col("prefix")).cast("bigint")
 
 
-def _plan(rows: DataFrame, weights: DataFrame | None, most: int) -> DataFrame:
-    """source, source_size, target, repeats and prefix (the first hash not taken once more) of every source."""
+def _plan(rows: DataFrame, weights: DataFrame | None, most: int, in_parts: bool = False) -> DataFrame:
+    """source, source_size, target, repeats and prefix (the first hash not taken once more) of every source.
+
+    If ``in_parts``, the source of a row is a struct of source and part, and so is that of the plan.
+    """
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    if in_parts:
+        parts = session.staged(sizes.withColumnsRenamed({"source": "both", "source_size": "part_size"}), "mixing-parts")
+        sizes = parts.groupBy(F.col("both.source").alias("source")).agg(F.sum("part_size").alias("source_size"))
     if weights is None:
         weights = ranked_weights(sizes.select("source"))
     weights = weights.select(F.col("source").alias("w_source"), "weight")
@@ -97,6 +103,10 @@ def _plan(rows: DataFrame, weights: DataFrame | None, most: int) -> DataFrame:
     plan = plan.withColumn("repeats", repeats.cast("bigint")).withColumn(
         "budget", F.col("target") - F.col("repeats") * F.col("source_size")
     )
+    if in_parts:
+        share = F.when(F.col("source_size") > 0, F.col("part_size") / F.col("source_size")).otherwise(0.0)
+        plan = plan.join(parts, F.col("source").eqNullSafe(F.col("both.source"))).withColumn("budget", F.col("budget") * share)
+        plan = plan.drop("source", "part_size").withColumnRenamed("both", "source")
     plan = plan.withColumn("prefix", F.lit(0).cast("bigint"))
     for level in range(LEVELS):
         plan = session.staged(_narrowed(rows, plan, level), "mixing-plan")
@@ -135,15 +145,20 @@ def _high(h: Column, digits: int) -> Column:
     return F.shiftright(h, DIGIT * (LEVELS - digits))
 
 
-def repeated(docs: DataFrame, weights: DataFrame | None = None, most: int = 3, id_col: str = "doc_id") -> DataFrame:
+def repeated(
+    docs: DataFrame, weights: DataFrame | None = None, most: int = 3, id_col: str = "doc_id", part_col: str | None = None
+) -> DataFrame:
     """The mix itself: the rows of ``docs``, all columns, each as often as the mix takes it.
 
     Documents without words carry no weight in the mix and stay once, so that none is lost
-    for being empty.
+    for being empty. If there is a ``part_col``, a language say, each part of a source is taken in
+    proportion to its size: it has a threshold of its own, and sources keep their targets.
     """
-    plan = _plan(session.staged(docs.select(*_measured(id_col)), "mixing-sizes"), weights, most)
+    key = F.col("source") if part_col is None else F.struct("source", F.col(part_col).alias("part"))
+    measured = [key.alias("source"), *_measured(id_col)[1:]]
+    plan = _plan(session.staged(docs.select(*measured), "mixing-sizes"), weights, most, part_col is not None)
     plan = plan.select("repeats", "prefix", F.col("source").alias("p_source"))
-    rows = docs.select(F.struct(*docs.columns).alias("_mix_row"), *_measured(id_col))
+    rows = docs.select(F.struct(*docs.columns).alias("_mix_row"), *measured)
     joined = rows.join(plan, F.col("source").eqNullSafe(F.col("p_source")))
     times = F.when(F.col("size") == 0, 1).otherwise(_times()).cast("int")
     copies = F.explode(F.array_repeat(F.lit(True), times)).alias("_mix_copy")

@@ -16,7 +16,7 @@ import collections
 import itertools
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -459,9 +459,13 @@ def _texts(batch: pa.RecordBatch) -> Iterator[list[str | None]]:
         yield batch.column("text").slice(first, end - first).to_pylist()
 
 
-def round_trip(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(
+    docs: DataFrame, data: bytes, id_col: str = "doc_id", text_col: str = "text", carried: Sequence[str] = ()
+) -> DataFrame:
     """doc_id, n_tokens, ids, and round_trip: whether the decoded ids are the text (null: empty) again.
 
+    Columns of ``docs`` that are to be ``carried`` follow.
+
     Encodes and decodes in one pass over the texts, so that they are not moved between the two.
     """
 
@@ -474,12 +478,14 @@ def round_trip(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_col: s
                 ids, counts = encoder.encode(texts)
                 decoded = decode_batch(encoder.model, ids, counts)
                 same = [a == (b or "") for a, b in zip(decoded, texts, strict=True)]
-                columns = [batch.column("doc_id").slice(first, end - first), pa.array(counts), _lists(ids, counts), pa.array(same)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "round_trip"])
+                doc, *more = (batch.column(c).slice(first, end - first) for c in ("doc_id", *carried))
+                columns = [doc, pa.array(counts), _lists(ids, counts), pa.array(same), *more]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "round_trip", *carried])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids array<int>, round_trip boolean")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carried)
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids array<int>, round_trip boolean{more}")
 
 
 def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
