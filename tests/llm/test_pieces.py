@@ -3,8 +3,10 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as proto
 
 from tillroll.llm import pieces
@@ -74,6 +76,36 @@ def test_words_are_forgotten_when_there_are_too_many(texts, monkeypatch):
     assert [encoder.encode([text])[0].tolist() for text in texts] == want
 
 
+def test_a_batch_is_not_learned_whole(texts, monkeypatch):
+    """Words learned ahead, and those that advance together, are bounded, not all new ones of a batch; ids stay the same."""
+    rows = texts + [f"{word}{i} longer{i}words" for i, word in enumerate(["one", "two", "three"] * 400)]
+    want = ids_of(DATA, rows)
+    learned, together = [], []
+    learn, lattice = pieces.Encoder._learn, pieces._lattice
+    monkeypatch.setattr(pieces, "LEARN_BYTES", 2_000, raising=False)
+    monkeypatch.setattr(pieces, "LATTICE_CHARS", 500, raising=False)
+    monkeypatch.setattr(pieces, "BATCH_CHARS", 1_000)
+    monkeypatch.setattr(pieces, "KEPT_WORDS", 300)
+    monkeypatch.setattr(pieces.Encoder, "_learn", lambda self, words: (learned.append(len(words)), learn(self, words))[1])
+    monkeypatch.setattr(pieces, "_lattice", lambda model, codes: (together.append(codes.size), lattice(model, codes))[1])
+    monkeypatch.setattr(pieces, "_encoders", {})
+
+    class Rows:
+        schema = type("Schema", (), {"__getitem__": lambda self, name: type("Field", (), {"dataType": T.LongType()})})()
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(pieces, "F", type("F", (), {"col": lambda name: type("Col", (), {"alias": lambda self, name: self})()}))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows, pa.string())], ["doc_id", "text"])
+    out = pa.Table.from_batches(pieces.round_trip(Rows(), DATA)(iter([batch])))
+    assert out["doc_id"].to_pylist() == list(range(len(rows))) and out["ids"].to_pylist() == want
+    assert max(learned) < 1_000 < sum(learned) and max(together) <= 500
+
+
 def test_round_trip(docs, odd_rows):
     df = docs(odd_rows + [(50, "a▁b")], clash=True)
     got = pieces.round_trip(df, DATA).collect()

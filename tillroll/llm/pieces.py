@@ -16,7 +16,7 @@ import collections
 import itertools
 import re
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,10 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 PAIR_SLOTS = 1 << 21
 #: Characters encoded together; words with more symbols than LONG are walked one by one.
 BATCH_CHARS, LONG = 1 << 20, 64
+#: Bytes of texts whose new words are learned together, and characters of words that advance together.
+LEARN_BYTES, LATTICE_CHARS = 1 << 22, 1 << 17
 #: Words whose ids a Python worker keeps before it starts afresh.
-KEPT_WORDS = 1 << 18
+KEPT_WORDS = 1 << 17
 
 
 class Model:
@@ -314,7 +316,7 @@ class Encoder:
         # Behind U+0000 a word is kept as it is, also one that begins with U+0000 after its space.
         return [word[1:] if word[0] == SPACE and word[1:2] != "\0" else "\0" + word for word in found]
 
-    def prepare(self, slices: Iterator[list[str | None]]) -> None:
+    def prepare(self, slices: Iterable[list[str | None]]) -> None:
         """Learn the new words of several lists of texts together, so that many have the same length."""
         if len(self.index) > KEPT_WORDS:
             self._clear()
@@ -341,23 +343,28 @@ class Encoder:
         return ids, sums
 
     def _learn(self, words: list[str]) -> None:
-        """Add the ids of new words, all words of one length together."""
-        words = [word[1:] if word[:1] == "\0" else SPACE + word for word in words]
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        """Add the ids of new words, those of one length together, up to LATTICE_CHARS characters of them."""
+        whole = (len(word) - 1 if word[:1] == "\0" else len(word) + 1 for word in words)
+        lengths = np.fromiter(whole, np.int64, len(words))
         counts = np.zeros(len(words), np.int64)
         order = np.argsort(lengths, kind="stable")
+        sorted_lengths = lengths[order]
         parts = []
         for length in np.unique(lengths):
-            group = order[np.searchsorted(lengths[order], length) : np.searchsorted(lengths[order], length, "right")]
-            if length > LONG:
-                walked = [_walk(self.model, words[g]) for g in group]
-                steps, steps_each = np.array([s for w in walked for s in w], np.int64), np.array([len(w) for w in walked])
-            else:
-                joined = "".join([words[g] for g in group])
-                codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(group), length)
-                steps, steps_each = _lattice(self.model, codes)
-            ids, counts[group] = _expanded(self.model, steps, steps_each)
-            parts.append(ids)
+            first, end = np.searchsorted(sorted_lengths, length), np.searchsorted(sorted_lengths, length, "right")
+            step = max(1, LATTICE_CHARS // max(1, int(length)))
+            for at in range(first, end, step):
+                group = order[at : min(at + step, end)]
+                own = [words[g] for g in group]
+                own = [word[1:] if word[:1] == "\0" else SPACE + word for word in own]
+                if length > LONG:
+                    walked = [_walk(self.model, word) for word in own]
+                    steps, steps_each = np.array([s for w in walked for s in w], np.int64), np.array([len(w) for w in walked])
+                else:
+                    codes = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32)
+                    steps, steps_each = _lattice(self.model, codes.reshape(len(own), length))
+                ids, counts[group] = _expanded(self.model, steps, steps_each)
+                parts.append(ids)
         starts = np.zeros(len(words), np.int64)
         starts[order] = len(self.flat) + np.cumsum(counts[order]) - counts[order]
         self.flat = np.concatenate([self.flat, *parts])
@@ -419,9 +426,8 @@ def encode(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(data)
         for batch in batches:
-            encoder.prepare(_texts(batch))
-            for first, end in _slices(_sizes(batch), BATCH_CHARS):
-                ids, counts = encoder.encode(batch.column("text").slice(first, end - first).to_pylist())
+            for first, end, texts in _prepared(encoder, batch):
+                ids, counts = encoder.encode(texts)
                 ids_of = batch.column("doc_id").slice(first, end - first)
                 yield pa.RecordBatch.from_arrays([ids_of, _lists(ids, counts)], ["doc_id", "ids"])
 
@@ -453,10 +459,14 @@ def decode(tokens: DataFrame, data: bytes) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[list[str | None]]:
-    """The texts of a batch, slice by slice."""
-    for first, end in _slices(_sizes(batch), BATCH_CHARS):
-        yield batch.column("text").slice(first, end - first).to_pylist()
+def _prepared(encoder: Encoder, batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[str | None]]]:
+    """Ranges of rows of a batch and their texts, slice by slice; new words are learned LEARN_BYTES ahead, not for the whole batch."""
+    sizes, texts = _sizes(batch), batch.column("text")
+    for start, stop in _slices(sizes, LEARN_BYTES):
+        parts = [(start + first, start + end) for first, end in _slices(sizes[start:stop], BATCH_CHARS)]
+        encoder.prepare(texts.slice(first, end - first).to_pylist() for first, end in parts)
+        for first, end in parts:
+            yield first, end, texts.slice(first, end - first).to_pylist()
 
 
 def round_trip(
@@ -472,9 +482,7 @@ def round_trip(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(data)
         for batch in batches:
-            encoder.prepare(_texts(batch))
-            for first, end in _slices(_sizes(batch), BATCH_CHARS):
-                texts = batch.column("text").slice(first, end - first).to_pylist()
+            for first, end, texts in _prepared(encoder, batch):
                 ids, counts = encoder.encode(texts)
                 decoded = decode_batch(encoder.model, ids, counts)
                 same = [a == (b or "") for a, b in zip(decoded, texts, strict=True)]
